@@ -134,7 +134,8 @@ FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus = 'F'
 
 def median_boxplot(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").withColumn("high", F.col("l_extendedprice") + F.col("l_quantity"))
-    result = gold.area_boxplot(lines, "l_suppkey", "l_extendedprice", "high", ("low_end", "high_end", "middle"))
+    names = ("low_end", "high_end", "middle")
+    result = gold.area_boxplot(lines, "l_suppkey", "l_extendedprice", "high", names)
     return steadied(result, "high_end", "middle")
 
 
@@ -146,14 +147,17 @@ FROM lineitem GROUP BY l_suppkey
 
 
 def median_large_groups(spark: SparkSession, sf: str) -> DataFrame:
-    """The same median for groups too large for one task, here from 500 distinct values on."""
+    """Few large groups: those of more than 8,000 rows are bracketed first."""
     lines = table(spark, sf, "lineitem").withColumn("flag", F.nullif("l_returnflag", F.lit("A")))
-    result = op.exact_median(lines, ["flag", "l_linestatus"], F.col("l_extendedprice"), "middle", 500, 64)
+    result = op.exact_median(
+        lines, ["flag", "l_linestatus"], F.col("l_extendedprice"), "middle", {"rows": F.count("l_orderkey")},
+        hot_rows=8000, accuracy=1000,
+    )
     return steadied(result, "middle")
 
 
 MEDIAN_LARGE_GROUPS = """
-SELECT nullif(l_returnflag, 'A') AS flag, l_linestatus, round(median(l_extendedprice) + 1e-7, 4) AS middle
+SELECT nullif(l_returnflag, 'A') AS flag, l_linestatus, count(l_orderkey) AS rows, round(median(l_extendedprice) + 1e-7, 4) AS middle
 FROM lineitem GROUP BY ALL
 """
 
@@ -285,9 +289,13 @@ def _wide_join(spark: SparkSession, sf: str, **options) -> DataFrame:
         F.max("o_totalprice").alias("score")
     ).where(F.col("score") > 200000)
     unique = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"]
-    wide = op.join_exclude(lines, parts, "part", ["p_type"], unique, **options)
-    wide = op.join_exclude(wide, suppliers, "l_suppkey", ["s_nationkey"], ["l_orderkey", "l_linenumber"], **options)
-    wide = op.lookup_join(wide, scores, "l_orderkey", ["l_linenumber", "part"], **options)
+
+    def counts(key: str) -> dict:
+        return {"key_counts": lines.groupBy(key).count(), **options}
+
+    wide = op.join_exclude(lines, parts, "part", ["p_type"], unique, **counts("part"))
+    wide = op.join_exclude(wide, suppliers, "l_suppkey", ["s_nationkey"], unique[:2], **counts("l_suppkey"))
+    wide = op.lookup_join(wide, scores, "l_orderkey", ["l_linenumber", "part"], **counts("l_orderkey"))
     return wide.withColumn("score", F.coalesce("score", F.lit(0.0))).drop("l_shipdate")
 
 

@@ -27,7 +27,8 @@ def lookup_join(
 
     The list of hot keys is broadcast: it has at most rows / ``hot_rows`` entries.  Neither side gets a
     broadcast hint; Spark broadcasts ``dim`` where its measured size is below the session's threshold and otherwise
-    shuffles both sides.  ``key_counts`` (key, count) may be passed where it exists already.
+    shuffles both sides.  Key counts are taken from ``fact``; where that is the result of other joins, pass
+    ``key_counts`` (key, count) of the stored table instead of running the joins twice.
     """
     counts = key_counts if key_counts is not None else fact.groupBy(key).count()
     parts = F.ceil(F.col("count") / hot_rows).cast("int").alias(_PARTS)

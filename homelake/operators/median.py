@@ -1,74 +1,59 @@
-"""Exact grouped median whose largest task does not grow with the largest group."""
+"""Exact grouped median that never gathers a large group."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_VALUES = 200_000
-_V, _N, _SIZE = "__value", "__count", "__distinct"
+HOT_ROWS = 1_000_000
+ACCURACY = 100_000
+_VALUE, _EDGES, _ROWS = "__value", "__edges", "__rows"
 
 
 def exact_median(
-    df: DataFrame, dims: list[str], value: Column, out: str, hot_values: int = HOT_VALUES, slices: int = 256
+    df: DataFrame,
+    dims: list[str],
+    value: Column,
+    out: str,
+    others: dict[str, Column] | None = None,
+    hot_rows: int = HOT_ROWS,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Interpolated median of ``value`` per group.
+    """Interpolated median of ``value`` per group of ``dims``, next to ``others`` (aggregates of the same rows).
 
-    Equal values are counted first, so a group is as large as its number of distinct values.  Groups with at
-    most ``hot_values`` of them take Spark's weighted ``percentile``.  Larger groups are cut at about ``slices``
-    of their own values into ordered slices; only the slice or two holding the middle ranks is ordered.
-    """
-    counts = (
-        df.select(*dims, value.cast("double").alias(_V)).where(F.col(_V).isNotNull())
-        .groupBy(*dims, _V).agg(F.count(F.lit(1)).alias(_N))
-    )
-    sizes = counts.groupBy(*dims).agg(F.count(F.lit(1)).alias(_SIZE))
-    hot = F.broadcast(sizes.where(F.col(_SIZE) > hot_values))  # at most distinct values / hot_values groups
-    small = _matched(counts, hot.select(*dims), dims, "left_anti")
-    small_medians = small.groupBy(*dims).agg(F.percentile(_V, F.lit(0.5), F.col(_N)).alias(out))
-    return small_medians.unionByName(_hot_medians(_matched(counts, hot, dims), dims, out, slices))
-
-
-def _matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on group keys, where a missing key part equals a missing one."""
-    names = [f"__r_{name}" for name in keys]
-    right = right.withColumnsRenamed(dict(zip(keys, names)))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
-    return left.join(right, same, how).drop(*names)
+    Groups of up to ``hot_rows`` rows take Spark's exact percentile.  A larger group is first bracketed by
+    approximate quantiles just below and above its median; then every value outside the bracket is pulled to its
+    edge, which moves no middle value, so the exact percentile has about 20 / ``accuracy`` of the values to hold.
 
+    All aggregates combine before the exchange and no row is shuffled on its own.  Both broadcasts hold at most one
+    entry per large group, that is rows / ``hot_rows`` entries.
+    """
+    plain = [agg.alias(name) for name, agg in (others or {}).items()]
+    known = df.withColumn(_VALUE, value.cast("double")).where(F.col(_VALUE).isNotNull())
+    counts = known.groupBy(*dims).agg(F.count(F.lit(1)).alias(_ROWS))
+    large = counts.where(F.col(_ROWS) > hot_rows).select(*dims)
 
-def _hot_medians(counts: DataFrame, dims: list[str], out: str, slices: int) -> DataFrame:
-    # Cut points: the values whose hash falls on a step that grows with the group, so about ``slices`` of them
-    # whatever its size.  A hash picks the same ones each time the plan or a lost task is run again.
-    step = F.ceil(F.col(_SIZE) / slices).cast("bigint")
-    cuts = (
-        counts.where(F.pmod(F.xxhash64(_V), step) == 0)
-        .groupBy(*dims).agg(F.sort_array(F.collect_list(_V)).alias("__cuts"))
-    )
-    sliced = _matched(counts, F.broadcast(cuts), dims, "left").select(
-        *dims, _V, _N, F.coalesce(F.size(F.filter("__cuts", lambda cut: cut <= F.col(_V))), F.lit(0)).alias("__slice")
-    )
-    totals = sliced.groupBy(*dims, "__slice").agg(F.sum(_N).alias("__rows"))
-    by_group = Window.partitionBy(*dims)
-    before = by_group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    placed = totals.select(
-        *dims,
-        "__slice",
-        "__rows",
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
-        F.sum("__rows").over(by_group).alias("__total"),
-    ).withColumns({"__low": F.floor((F.col("__total") + 1) / 2), "__high": F.floor(F.col("__total") / 2) + 1})
-    middle = placed.where(
-        (F.col("__before") < F.col("__high")) & (F.col("__before") + F.col("__rows") >= F.col("__low"))
+    small_groups = _matched(known, large, dims, "left_anti").groupBy(*dims).agg(
+        *plain, F.percentile(_VALUE, F.lit(0.5)).alias(out)
     )
-    inside = Window.partitionBy(*dims, "__slice").orderBy(_V)
-    ranked = _matched(sliced, F.broadcast(middle), [*dims, "__slice"]).withColumn(
-        "__upto", F.col("__before") + F.sum(_N).over(inside)
+    rows = _matched(known, large, dims, "left_semi")
+    margin = 10 / accuracy
+    edges = rows.groupBy(*dims).agg(
+        F.percentile_approx(_VALUE, [0.5 - margin, 0.5 + margin], accuracy).alias(_EDGES)
     )
-    covers = [
-        F.max(F.when((F.col("__upto") - F.col(_N) < F.col(r)) & (F.col("__upto") >= F.col(r)), F.col(_V)))
-        for r in ("__low", "__high")
-    ]
-    return ranked.groupBy(*dims).agg(((covers[0] + covers[1]) / 2).alias(out))
+    low, high, here = F.col(_EDGES)[0], F.col(_EDGES)[1], F.col(_VALUE)
+    median = F.percentile(F.least(F.greatest(here, low), high), F.lit(0.5))
+    half = (F.count(here) - 1) / 2
+    bracketed = (F.count_if(here < low) <= half) & (F.count_if(here > high) <= half)
+    checked = F.when(bracketed, median).otherwise(F.raise_error(F.lit("median outside its bracket; raise the accuracy")))
+    large_groups = _matched(rows, edges, dims, "inner").groupBy(*dims).agg(*plain, checked.alias(out))
+    return small_groups.unionByName(large_groups)
+
+
+def _matched(left: DataFrame, right: DataFrame, dims: list[str], how: str) -> DataFrame:
+    """Join with the few large groups; a missing group key equals a missing one."""
+    names = {name: f"__of_{name}" for name in dims}
+    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(other)) for name, other in names.items()])
+    return left.join(F.broadcast(right.withColumnsRenamed(names)), same, how).drop(*names.values())

@@ -113,12 +113,13 @@ def project_quality(projects: DataFrame, project_amenities: DataFrame) -> DataFr
     )
 
 
-def area_boxplot(df: DataFrame, group: str, low: str, high: str, names: tuple[str, str, str], **options) -> DataFrame:
+def area_boxplot(
+    df: DataFrame, group: str, low: str, high: str, names: tuple[str, str, str], **options
+) -> DataFrame:
     """Smallest low, largest high and exact median of their midpoint per group."""
     known = df.where(F.col(group).isNotNull() & F.col(low).isNotNull() & F.col(high).isNotNull())
-    extremes = summary_by(known, [group], {names[0]: F.min(low), names[1]: F.max(high)})
-    medians = exact_median(known, [group], midpoint(F.col(low), F.col(high)), names[2], **options)
-    return extremes.join(medians, group)
+    extremes = {names[0]: F.min(low), names[1]: F.max(high)}
+    return exact_median(known, [group], midpoint(F.col(low), F.col(high)), names[2], extremes, **options)
 
 
 def subdivision_area_boxplot(properties: DataFrame) -> DataFrame:

@@ -60,16 +60,24 @@ def test_group_std(spark, skewed, hot_rows):
         assert r["std"] == pytest.approx(expected)
 
 
-@pytest.mark.parametrize("hot_values, slices", [(10**6, 256), (0, 4), (0, 1), (20, 8), (100, 1000)])
+@pytest.mark.parametrize("accuracy, hot_rows", [(100_000, 10**6), (100_000, 0), (100, 0), (25, 5), (1000, 100)])
 @pytest.mark.parametrize("digits", [2, -2])
-def test_exact_median(spark, skewed, hot_values, slices, digits):
+def test_exact_median(spark, skewed, accuracy, hot_rows, digits):
     rows, fact = skewed
     groups = defaultdict(list)
     for _, key, value in rows:
         groups[key].append(round(value, digits))
-    found = {r["key"]: r["m"] for r in op.exact_median(
-        fact, ["key"], F.round("value", digits), "m", hot_values, slices).collect()}
-    assert found == pytest.approx({k: statistics.median(v) for k, v in groups.items()})
+    found = op.exact_median(
+        fact, ["key"], F.round("value", digits), "m", {"n": F.count("id")}, hot_rows, accuracy).collect()
+    assert {r["key"]: r["m"] for r in found} == pytest.approx({k: statistics.median(v) for k, v in groups.items()})
+    assert {r["key"]: r["n"] for r in found} == {k: len(v) for k, v in groups.items()}
+
+
+def test_exact_median_of_a_large_group(spark):
+    values = spark.range(400_001).select(F.lit("g").alias("g"), F.col("id"), ((F.col("id") * 7919) % 400_009).alias("v"))
+    expected = statistics.median([(i * 7919) % 400_009 for i in range(400_001)])
+    for accuracy in (100, 10_000):
+        assert op.exact_median(values, ["g"], F.col("v"), "m", hot_rows=1000, accuracy=accuracy).first()["m"] == expected
 
 
 def test_first_and_latest_per_hot_key(spark, skewed):
