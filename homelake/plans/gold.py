@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -172,24 +174,27 @@ def sum_by_key(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     return summary_by(df, [key], {out: F.sum(value)})
 
 
-def build_gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+# Builder of each table and the silver tables it reads.
+TABLES = {
+    "price_by_ward": (price_by_ward, ["properties"]),
+    "property_summary": (property_summary, ["properties"]),
+    "property_area_bins": (property_area_bins, ["properties"]),
+    "price_history_monthly": (price_history_monthly, ["project_prices", "projects"]),
+    "developer_pricing": (developer_pricing, ["projects"]),
+    "project_quality": (project_quality, ["projects", "project_amenities"]),
+    "subdivision_area_boxplot": (subdivision_area_boxplot, ["properties"]),
+    "subdivision_metrics": (subdivision_metrics, ["subdivisions", "projects"]),
+    "project_handover_timeline": (project_handover_timeline, ["projects"]),
+    "geo_heatmap": (geo_heatmap, ["properties"]),
+}
+
+
+def build_gold(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All dashboard tables as lazy DataFrames over the silver tables."""
-    listings, projects = silver["properties"], silver["projects"]
-    return {
-        "price_by_ward": price_by_ward(listings),
-        "property_summary": property_summary(listings),
-        "property_area_bins": property_area_bins(listings),
-        "price_history_monthly": price_history_monthly(silver["project_prices"], projects),
-        "developer_pricing": developer_pricing(projects),
-        "project_quality": project_quality(projects, silver["project_amenities"]),
-        "subdivision_area_boxplot": subdivision_area_boxplot(listings),
-        "subdivision_metrics": subdivision_metrics(silver["subdivisions"], projects),
-        "project_handover_timeline": project_handover_timeline(projects),
-        "geo_heatmap": geo_heatmap(listings),
-    }
+    return {name: build(*[silver[source] for source in sources]) for name, (build, sources) in TABLES.items()}
 
 
 def write_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> None:
-    names = ["properties", "projects", "project_amenities", "subdivisions", "project_prices"]
+    names = sorted({source for _, sources in TABLES.values() for source in sources})
     for name, table in build_gold(read_tables(spark, silver_dir, names)).items():
         write_table(table, gold_dir, name)
