@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANK = "__rank"
+_RANK, _BRINGS = "__rank", "__brings"
 
 
 def _first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -56,11 +56,13 @@ def prefix_until_stale(
 
     A page brings none when all its keys were seen on earlier pages or in the history, when it has no rows
     or when it is missing.  That page is the smallest number from ``first_page`` on that is not among the pages with
-    new rows, found by one anti join of their successors.
+    new rows: the first page itself or the successor of one of them.
     """
     fresh = new_rows(batch, history, key, [page, *pos_cols])
-    bringing = fresh.select(page).distinct()
-    start = batch.sparkSession.range(1).select(F.lit(first_page).cast(batch.schema[page].dataType).alias(page))
-    successors = bringing.where(F.col(page) >= first_page).select((F.col(page) + 1).alias(page)).unionByName(start)
-    stop = successors.join(bringing, page, "left_anti").agg(F.min(page))
-    return fresh.where(F.col(page).between(F.lit(first_page), stop.scalar() - 1))
+    number = batch.schema[page].dataType
+    start = batch.sparkSession.range(1).select(F.lit(first_page).cast(number).alias(page), F.lit(False).alias(_BRINGS))
+    bringing = fresh.where(F.col(page) >= first_page).groupBy(page).agg(F.lit(True).alias(_BRINGS))
+    successors = bringing.select((F.col(page) + 1).cast(number).alias(page), F.lit(False).alias(_BRINGS))
+    candidates = bringing.unionByName(successors).unionByName(start)
+    stale = candidates.groupBy(page).agg(F.bool_or(_BRINGS).alias(_BRINGS)).where(~F.col(_BRINGS))
+    return fresh.where(F.col(page).between(F.lit(first_page), stale.agg(F.min(page)).scalar() - 1))

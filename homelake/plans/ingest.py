@@ -103,12 +103,12 @@ def ingest(
 ) -> dict[str, int]:
     """One run over tables of fetched responses; returns the number of records written per entity."""
     seen = history_ids(spark, run_glob(bronze_dir, "properties"), "id")
-    fresh = new_properties(pages, seen).orderBy("page", "entry_pos", "item_pos")
+    fresh = new_properties(pages, seen)
     written = {"properties": append_run(fresh.select("record"), bronze_dir, "properties", run_id)}
 
     listed = listed_projects(quick_filter)
-    projects = detailed_projects(listed, details)
-    subdivisions = listed_subdivisions(listed, details)
+    projects = cut_lineage(detailed_projects(listed, details))  # written here, and read for the price targets
+    subdivisions = cut_lineage(listed_subdivisions(listed, details))
     written["projects"] = append_run(projects.select("record"), bronze_dir, "projects", run_id)
     written["subdivisions"] = append_run(subdivisions, bronze_dir, "subdivisions", run_id)
 

@@ -15,10 +15,9 @@ def append_run(records: DataFrame, bronze_dir: str, entity: str, run_id: str) ->
     """Write a run's records as JSON lines next to the earlier runs, and return how many were written.
 
     ``records`` holds typed columns, or ready-made JSON objects in a single column named ``record``.  A run
-    never replaces an earlier one, and a run without records leaves nothing behind.
+    never replaces an earlier one; a run without records leaves an empty folder.  The rows are counted while
+    they are written, so the records are computed once.
     """
-    if records.isEmpty():
-        return 0
     counted = Observation(f"{entity}_{run_id}")
     rows = records.observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = rows.write.mode("errorifexists")
@@ -27,7 +26,7 @@ def append_run(records: DataFrame, bronze_dir: str, entity: str, run_id: str) ->
         writer.text(path)
     else:
         writer.json(path)
-    return counted.get["rows"]
+    return counted.get.get("rows", 0)
 
 
 def spread_order(df: DataFrame, *columns: Column) -> DataFrame:
