@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from homelake import schemas
 from homelake.checks.common import Check, steadied, table
 from homelake.plans import features, gold, silver
+from homelake.session import cut_lineage
 from homelake.sources.readers import RUN_ID
 
 # ---- expressions both dialects read the same way -------------------------------------------------------------
@@ -402,7 +403,9 @@ def _gold_check(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     names = ["properties", "projects", "project_amenities", "project_prices"]
-    return features.features({name: silver_table(spark, sf, name) for name in names})
+    tables = {name: silver_table(spark, sf, name) for name in names}
+    # As in the job, which reads stored listings (three times).
+    return features.features({**tables, "properties": cut_lineage(tables["properties"])})
 
 
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:

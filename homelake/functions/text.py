@@ -9,7 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_BLANK = r"[\s\x1c-\x1f]"
+# Every character that counts as blank at the ends of a text.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 # Outside these two blocks a text may change under canonical composition; inside them it never does.
 _MAY_COMPOSE = r"[^\u0000-\u02FF\u1E00-\u1EFF]"
@@ -17,7 +21,7 @@ _MAY_COMPOSE = r"[^\u0000-\u02FF\u1E00-\u1EFF]"
 
 def trim_unicode(text: Column) -> Column:
     """Cut every Unicode blank at both ends; ``trim`` alone cuts only plain spaces."""
-    return F.regexp_replace(text, rf"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def title_case(text: Column) -> Column:

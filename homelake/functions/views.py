@@ -15,6 +15,9 @@ CEMETERY_VIEW = "Nghĩa Trang / Khu Mộ"
 CEMETERY_WORDS = ["nghĩa trang", "khu mộ"]
 VIEW_TYPOS = {"nôi khu": "nội khu", "nộii khu": "nội khu"}
 OUTSIDE_PATTERN = r"(?Ud)ngoại khu\s*\((.*?)\)"
+# A text of fewer than two word characters, or of nothing but k, says nothing.
+TWO_WORD_CHARS = r"[\p{L}\p{N}_][^\p{L}\p{N}_]*[\p{L}\p{N}_]"
+WORD_CHAR_BUT_K = r"[\p{L}\p{N}_&&[^k]]"
 VIEW_LABELS = [
     ("hồ", "Hồ"),
     ("công viên", "Công Viên"),
@@ -29,23 +32,23 @@ def with_view_category(df: DataFrame, source: str, out: str) -> DataFrame:
 
     The cleaned text is staged in its own projection because every rule reads it.
     """
-    clean, letters = "__view_clean", "__view_letters"
+    clean = "__view_clean"
     text = trim_unicode(F.lower(nfc(F.col(source))))
     for wrong, right in VIEW_TYPOS.items():
         text = F.replace(text, F.lit(wrong), F.lit(right))
     text = F.regexp_replace(text, OUTSIDE_PATTERN, "$1")
 
-    value, word = F.col(clean), F.col(letters)
+    value = F.col(clean)
+    says_something = value.rlike(TWO_WORD_CHARS) & value.rlike(WORD_CHAR_BUT_K)
     category = (
         F.when(F.col(source).isNull() | (trim_unicode(F.col(source)) == ""), UNKNOWN_VIEW)
         .when(contains_any(value, CEMETERY_WORDS), CEMETERY_VIEW)
-        .when((F.length(word) <= 1) | word.rlike("^k*$"), OTHER_VIEW)
+        .when(~says_something, OTHER_VIEW)
     )
     for needle, label in VIEW_LABELS:
         category = category.when(value.contains(needle), label)
     return (
         df.withColumn(clean, text)
-        .withColumn(letters, F.regexp_replace(value, r"[^\p{L}\p{N}_]", ""))
         .withColumn(out, category.otherwise(title_case(dedupe_tokens(value))))
-        .drop(clean, letters)
+        .drop(clean)
     )

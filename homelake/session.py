@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,10 +27,21 @@ def build_session(app_name: str, master: str | None = None, conf: dict[str, str]
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="homelake-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one the cluster names, or a temporary one where none is named (tests)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names; a temporary one only where none is named (tests)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="homelake-checkpoint-"))
-    return df.checkpoint(eager=True)
+    """Store an intermediate result as a table in the shared folder and read it from there.
+
+    It is computed once, survives lost executors, and later steps read only the columns they need.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

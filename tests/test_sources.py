@@ -72,6 +72,10 @@ def test_too_many_months_are_refused(spark):
         op.series_keys(series, "year", "month")
 
 
-def test_checkpoint_folder_named_by_the_session_is_used(spark, tmp_path):
-    assert cut_lineage(spark.range(5)).count() == 5
-    assert spark.sparkContext.getCheckpointDir() is not None
+def test_intermediate_tables_go_to_the_shared_folder(spark, tmp_path, monkeypatch):
+    frame = spark.range(5).select(F.col("id"), F.lit("x").alias("t"))
+    assert cut_lineage(frame).count() == 5
+    monkeypatch.setattr("homelake.session.shared_folder", lambda _: str(tmp_path))
+    stored = cut_lineage(frame)
+    assert stored.inputFiles() and all(str(tmp_path) in name for name in stored.inputFiles())
+    assert sorted(stored.collect()) == sorted(frame.collect())
