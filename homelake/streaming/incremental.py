@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,25 +12,21 @@ from homelake.operators import new_rows
 BATCH = "batch_id"
 
 
-def read_new_records(spark: SparkSession, target_dir: str) -> DataFrame | None:
-    """Everything appended so far, or None before the first batch."""
-    try:
-        return spark.read.parquet(target_dir)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def read_new_records(spark: SparkSession, target_dir: str, schema: T.StructType) -> DataFrame:
+    """Everything appended so far, with the number of the batch that brought it."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(target_dir)
+
+
+def _open_target(spark: SparkSession, target_dir: str, schema: T.StructType) -> None:
+    """Make the target readable before the first batch."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target_dir.rstrip('/')}/{BATCH}=-1")
 
 
 def _append_unseen(batch: DataFrame, batch_id: int, target_dir: str, key: str, order_cols: list[str]) -> None:
-    spark = batch.sparkSession
-    stored = read_new_records(spark, target_dir)
+    stored = read_new_records(batch.sparkSession, target_dir, batch.schema)
+    # A batch that is run again after a failure must not see its own first attempt.
+    history = stored.where(F.col(BATCH) < batch_id).select(key)
     keyed = batch.where(F.col(key).isNotNull()).persist()
-    if stored is None:
-        history = spark.createDataFrame([], T.StructType([keyed.schema[key]]))
-    else:
-        # A batch that is run again after a failure must not see its own first attempt.
-        history = stored.where(F.col(BATCH) < batch_id).select(key)
     try:
         fresh = new_rows(keyed, history, key, order_cols, long_history=True)
         fresh.write.mode("overwrite").parquet(f"{target_dir.rstrip('/')}/{BATCH}={batch_id}")
@@ -51,6 +46,7 @@ def new_records_query(
 ) -> StreamingQuery:
     """Start a query that handles all run files not handled before and then stops.
 
+    A target belongs to one checkpoint, whose batch numbers name its folders.
     Each batch is deduplicated, compared with the stored keys and written to its own folder, which a repeated
     batch replaces; no record state is kept in memory, so the state does not grow with the history.
     """
@@ -58,6 +54,7 @@ def new_records_query(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.json(path_glob)
+    _open_target(spark, target_dir, schema)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         _append_unseen(batch, batch_id, target_dir, key, order_cols)

@@ -14,13 +14,12 @@ def drain(spark, source, target, checkpoint, **options):
 
 
 def stored(spark, target):
-    return sorted((r["id"], r["seq"]) for r in read_new_records(spark, target).select("id", "seq").collect())
+    return sorted((r["id"], r["seq"]) for r in read_new_records(spark, target, SCHEMA).select("id", "seq").collect())
 
 
 def test_stream_equals_batch_and_handles_only_new_files(spark, tmp_path, write_jsonl):
     source, target, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     source.mkdir()
-    assert read_new_records(spark, target) is None
     write_jsonl(source / "properties_1.jsonl", [{"id": "a", "seq": 2}, {"id": "a", "seq": 1}, {"id": "b", "seq": 3}, {"seq": 9}])
     drain(spark, source, target, checkpoint)
     assert stored(spark, target) == [("a", 1), ("b", 3)]
@@ -34,9 +33,10 @@ def test_stream_equals_batch_and_handles_only_new_files(spark, tmp_path, write_j
 
 
 def test_a_repeated_batch_replaces_its_first_attempt(spark, tmp_path):
-    from homelake.streaming.incremental import _append_unseen
+    from homelake.streaming.incremental import _append_unseen, _open_target
 
     target = str(tmp_path / "out")
+    _open_target(spark, target, SCHEMA)
     one = spark.createDataFrame([("a", 1), ("b", 2)], SCHEMA)
     two = spark.createDataFrame([("b", 3), ("c", 4)], SCHEMA)
     _append_unseen(one, 0, target, "id", ["seq"])
