@@ -15,6 +15,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python line of every column expression costs a JVM call each; wide tables have hundreds.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
