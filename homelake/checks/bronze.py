@@ -30,17 +30,18 @@ def _text(template: str, **columns: str) -> Column:
 def new_properties(spark: SparkSession, sf: str) -> DataFrame:
     body = (
         '<script id="__NEXT_DATA__">{"props": {"pageProps": {"fallback": {"list": {"data": [{"id": "h<n>", "page": <p>, "urls": []}]},'
-        ' "more": {"data": {"items": [{"id": "old", "images": 1}]}}}}}}</script>'
+        ' "more": {"data": {"items": [{"id": "h4000", "images": 1}]}}}}}}</script>'
     )
     pages = table(spark, sf, "pages").withColumn("n", F.length("html") % 5000).withColumn("page", F.col("page_id") + 1)
     filled = pages.select("page", F.concat("html", _text(body, n="n", p="page")).alias("html"))
-    history = table(spark, sf, "region").select(F.lit("old").alias("id"))
+    history = table(spark, sf, "nation").select(F.concat(F.lit("h"), F.col("n_nationkey") + 4000).alias("id"))
     return ingest.new_properties(filled, history)
 
 
 NEW_PROPERTIES = """
 WITH listed AS (SELECT page_id + 1 AS page, 'h' || (length(html) % 5000) AS id FROM pages),
-fresh AS (SELECT id, min(page) AS page FROM listed GROUP BY id),
+fresh AS (SELECT id, min(page) AS page FROM listed
+          WHERE id NOT IN (SELECT 'h' || (n_nationkey + 4000) FROM nation) GROUP BY id),
 stop AS (SELECT min(page) AS page FROM (SELECT page FROM listed UNION SELECT max(page) + 1 FROM listed) AS p
          WHERE page NOT IN (SELECT page FROM fresh))
 SELECT page, 0 AS entry_pos, 0 AS item_pos, '{"id":"' || id || '","page":' || page || '}' AS record, id

@@ -61,8 +61,10 @@ def prefix_until_stale(
     fresh = new_rows(batch, history, key, [page, *pos_cols])
     number = batch.schema[page].dataType
     start = batch.sparkSession.range(1).select(F.lit(first_page).cast(number).alias(page), F.lit(False).alias(_BRINGS))
-    bringing = fresh.where(F.col(page) >= first_page).groupBy(page).agg(F.lit(True).alias(_BRINGS))
-    successors = bringing.select((F.col(page) + 1).cast(number).alias(page), F.lit(False).alias(_BRINGS))
-    candidates = bringing.unionByName(successors).unionByName(start)
+    here = F.struct(F.col(page).alias(page), F.lit(True).alias(_BRINGS))
+    following = F.struct((F.col(page) + 1).cast(number).alias(page), F.lit(False).alias(_BRINGS))
+    candidates = (
+        fresh.where(F.col(page) >= first_page).select(F.inline(F.array(here, following))).unionByName(start)
+    )
     stale = candidates.groupBy(page).agg(F.bool_or(_BRINGS).alias(_BRINGS)).where(~F.col(_BRINGS))
     return fresh.where(F.col(page).between(F.lit(first_page), stale.agg(F.min(page)).scalar() - 1))
