@@ -4,6 +4,8 @@
     python -m homelake.plans.jobs gold --silver-dir S --gold-dir G
     python -m homelake.plans.jobs features --silver-dir S --gold-dir G
     python -m homelake.plans.jobs ingest --responses-dir R --bronze-dir B --run-id 20240131_060000
+
+Each takes --shuffle-partitions N, the number of partitions a shuffle starts with.
 """
 
 from __future__ import annotations
@@ -26,13 +28,28 @@ def run_ingest(spark: SparkSession, responses_dir: str, bronze_dir: str, run_id:
     return ingest(spark, bronze_dir, run_id, **read_tables(spark, responses_dir, RESPONSES))
 
 
+def job_conf(shuffle_partitions: int | None) -> dict[str, str]:
+    """Shuffle settings of the jobs: start with many partitions and let Spark merge them to about 128 MB each.
+
+    ``shuffle_partitions`` is the starting number, about shuffled bytes / 128 MB; the session's own by default.
+    """
+    conf = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    if shuffle_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
+    return conf
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="homelake")
     parser.add_argument("job", choices=["ingest", "silver", "gold", "features"])
     for name in ("responses-dir", "bronze-dir", "silver-dir", "gold-dir", "run-id"):
         parser.add_argument(f"--{name}")
+    parser.add_argument("--shuffle-partitions", type=int)
     args = parser.parse_args(argv)
-    spark = build_session(f"homelake-{args.job}")
+    spark = build_session(f"homelake-{args.job}", conf=job_conf(args.shuffle_partitions))
     if args.job == "ingest":
         print(run_ingest(spark, args.responses_dir, args.bronze_dir, args.run_id))
     elif args.job == "silver":

@@ -1,6 +1,7 @@
 import pytest
 
 from homelake.plans import features, gold, silver
+from homelake.plans.jobs import main
 from tests.listings import write_bronze
 
 
@@ -13,9 +14,9 @@ def layers(spark, tmp_path_factory):
 
     root = tmp_path_factory.mktemp("layers")
     bronze = write_bronze(root / "bronze", write)
-    silver.write_silver(spark, bronze, f"{root}/silver")
-    gold.write_gold(spark, f"{root}/silver", f"{root}/gold")
-    features.write_features(spark, f"{root}/silver", f"{root}/gold")
+    main(["silver", "--bronze-dir", bronze, "--silver-dir", f"{root}/silver", "--shuffle-partitions", "6"])
+    main(["gold", "--silver-dir", f"{root}/silver", "--gold-dir", f"{root}/gold"])
+    main(["features", "--silver-dir", f"{root}/silver", "--gold-dir", f"{root}/gold"])
     return str(root)
 
 
