@@ -266,7 +266,8 @@ def table_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 TABLE_PROFILE = """
-SELECT 0 AS position, 's_suppkey' AS column_name, 'bigint' AS column_type, count(*) AS row_count, count(*) - count(s_suppkey) AS null_count FROM supplier
+SELECT 0 AS position, 's_suppkey' AS column_name, 'bigint' AS column_type, count(*) AS row_count,
+       count(*) - count(s_suppkey) AS null_count FROM supplier
 UNION ALL SELECT 1, 's_name', 'string', count(*), count(*) - count(s_name) FROM supplier
 UNION ALL SELECT 2, 's_nationkey', 'int', count(*), count(*) - count(nullif(s_nationkey, 3)) FROM supplier
 UNION ALL SELECT 3, 's_acctbal', 'double', count(*), count(*) - count(s_acctbal) FROM supplier
