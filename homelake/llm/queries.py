@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from homelake.llm.html_text import op2_html_text
 from homelake.llm.language import op4_language
 
 QUERIES = {
+    "op2_html_text": op2_html_text,
     "op4_language": op4_language,
 }
 
