@@ -160,7 +160,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text") -> Toxi
     kept_back = np.array([zlib.crc32(f"{x} split".encode()) % 4 == 0 for x in sample["doc_id"]])
     groups = [[], [], [], []]  # positives and unlabelled to train from, then those kept back
     for features, positive, back in zip(sample["features"], sample["positive"], kept_back):
-        groups[2 * back + (not positive)].append(features)
+        groups[2 * back + (not positive)].append(np.asarray(features, dtype=np.int32))
     positive, unlabelled, back_positive, back_unlabelled = groups
     if not positive or not unlabelled:
         return nothing
@@ -186,7 +186,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text") -> Toxi
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """``docs`` with score (0 to 1) and predicted (1 from ``THRESHOLD`` on)."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # at most FEATURES numbers
+    shared = spark.sparkContext.broadcast(tuple(model))  # at most FEATURES numbers
     slim = docs.drop("score", "predicted").withColumn("score", F.lit(0.0))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
