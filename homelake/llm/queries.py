@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from homelake.llm.html_text import op2_html_text
 from homelake.llm.language import op4_language
+from homelake.llm.near_dedup import op9_near_dedup
 from homelake.llm.toxicity import op5_toxicity
 
 QUERIES = {
     "op2_html_text": op2_html_text,
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
