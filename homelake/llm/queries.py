@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from homelake.llm import decontamination
+from homelake.llm.decontamination import op1_decontamination
 from homelake.llm.html_text import op2_html_text
 from homelake.llm.language import op4_language
+from homelake.llm.mixing import op8_mixing
 from homelake.llm.near_dedup import op9_near_dedup
 from homelake.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_html_text": op2_html_text,
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
+    "op8_mixing": op8_mixing,
     "op9_near_dedup": op9_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": decontamination.ORACLE,
+}
