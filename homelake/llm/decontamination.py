@@ -51,7 +51,7 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text")
     )
 
 
-def _scanner(shared, text: str):
+def _scanner(shared, text: str, prefix: str):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = ahocorasick.Automaton()
         for pattern, item_ids in shared.value:
@@ -59,7 +59,7 @@ def _scanner(shared, text: str):
         automaton.make_automaton()
         for batch in batches:
             spans, found, words = [], [], []
-            for content, before, items in zip(batch[text], batch["spans"], batch["item_ids"]):
+            for content, before, items in zip(batch[text], batch[f"{prefix}spans"], batch[f"{prefix}item_ids"]):
                 parts = [word for word in folded_words(content) if word]
                 words.append(len(parts))
                 line = f" {b' '.join(parts).decode('utf-8', 'surrogatepass')} " if parts else ""
@@ -85,32 +85,35 @@ def _scanner(shared, text: str):
                     {"first_word": int(a), "last_word": int(b) - 1, "start": places[a][0], "end": places[b - 1][1]} for a, b in zip(starts, ends)
                 ])
                 found.append(sorted({*items, *(item for _, _, ids in hits for item in ids)}))
-            batch["spans"], batch["item_ids"], batch["n_words"] = spans, found, words
+            batch[f"{prefix}spans"], batch[f"{prefix}item_ids"], batch[f"{prefix}n_words"] = spans, found, words
             yield batch
 
     return scan
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with n_words, spans (merged hits by word number and by code point of the original, end exclusive), item_ids, n_hit."""
+def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with n_words, spans (merged hits by word number and by code point of the original, end exclusive), item_ids, n_hit.
+
+    The new names begin with ``prefix``; columns of these names are replaced.
+    """
     spark = docs.sparkSession
     windows = item_windows(items)
     total = windows.agg(F.sum(F.length("pattern") + 8 * F.size("item_ids")).alias("chars")).first()["chars"] or 0
     blocks = max(1, -(-total // BLOCK_CHARS))
     empty = "array<struct<first_word:int,last_word:int,start:int,end:int>>"
     out = docs.withColumns({
-        "n_words": F.lit(0).cast("long"), "spans": F.array().cast(empty), "item_ids": F.array().cast("array<string>"),
+        f"{prefix}n_words": F.lit(0).cast("long"), f"{prefix}spans": F.array().cast(empty), f"{prefix}item_ids": F.array().cast("array<string>"),
     })
     if blocks > 1:
         windows = cut_lineage(windows.withColumn("block", F.pmod(F.xxhash64("pattern"), F.lit(blocks))))
     for block in range(blocks):
         own = windows.where(F.col("block") == block) if blocks > 1 else windows
         patterns = [(row["pattern"], row["item_ids"]) for row in own.select("pattern", "item_ids").collect()]
-        out = out.mapInPandas(_scanner(spark.sparkContext.broadcast(patterns), text), out.schema)
+        out = out.mapInPandas(_scanner(spark.sparkContext.broadcast(patterns), text, prefix), out.schema)
         if block + 1 < blocks:
             out = cut_lineage(out)
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda sum_, span: sum_ + span["last_word"] - span["first_word"] + 1)
-    return out.withColumn("n_hit", hit)
+    hit = F.aggregate(f"{prefix}spans", F.lit(0).cast("long"), lambda sum_, span: sum_ + span["last_word"] - span["first_word"] + 1)
+    return out.withColumn(f"{prefix}n_hit", hit)
 
 
 def items_digest(item_ids: str = "item_ids") -> Column:

@@ -103,16 +103,16 @@ def _schedule(spark: SparkSession, sources: DataFrame) -> DataFrame:
     return placed.withColumn("within", within).join(ahead, ["number", "run"]).select("number", (F.col("ahead") + F.col("within")).alias("place"))
 
 
-def mix_sources(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row of ``docs``."""
+def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source_size, target and taken of every row of ``docs``, and its columns ``keep`` (of names of their own)."""
     spark = docs.sparkSession
     content = F.xxhash64("doc_id", F.lit("shuffle"))
-    sizes = cut_lineage(docs.select("doc_id", F.col(source).alias("source"), word_count(text).alias("size")).withColumn("shuffled", content))
+    sizes = cut_lineage(docs.select("doc_id", *keep, F.col(source).alias("source"), word_count(text).alias("size")).withColumn("shuffled", content))
     sources = cut_lineage(source_targets(sizes))
 
     # Where each document stands in its source's stream.
     at = sizes.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select(
-        "d.doc_id", "d.size", "d.shuffled", "s.number", "s.source_size", "s.target", "s.rows", "s.blocks")
+        "d.doc_id", *[f"d.{name}" for name in keep], "d.size", "d.shuffled", "s.number", "s.source_size", "s.target", "s.rows", "s.blocks")
     parts = F.ceil(F.col("rows") / PART_ROWS)
     # Order of parts is order of the upper hash bits, so parts are runs of the shuffled order.
     part = F.floor((F.shiftrightunsigned("shuffled", 32)) * parts / F.lit(float(1 << 32)))
@@ -155,7 +155,7 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source") ->
         pieces.join(takes, ["number", "block"], "left")
         .withColumn("words", F.coalesce(taken, F.lit(0)))
         .groupBy("number", "part", "nth").agg(
-            F.first("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("source_size").alias("source_size"),
+            F.first("doc_id").alias("doc_id"), *[F.first(name).alias(name) for name in keep], F.first("size").alias("size"), F.first("source_size").alias("source_size"),
             F.first("target").alias("target"), F.sum("words").cast("long").alias("taken"))
         .drop("number", "part", "nth")
     )

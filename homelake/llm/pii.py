@@ -98,14 +98,14 @@ def _votes(kind: str, span: Column) -> dict[str, Column]:
     }
 
 
-def find_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``candidates``: (kind, start, end, base, size and one vote per labeler) by kind, then start."""
+def find_candidates(docs: DataFrame, text: str = "text", output: str = "candidates") -> DataFrame:
+    """``docs`` with ``output``: (kind, start, end, base, size and one vote per labeler) by kind, then start."""
     found = with_spans(docs, BASE + LOOSE, text)
 
     def candidates(kind: str, base: bool) -> Column:
-        spans = F.col(kind)
+        spans = F.col(f"__span_{kind}")
         if not base:
-            certain = F.concat(*[F.col(p.kind) for p in BASE])
+            certain = F.concat(*[F.col(f"__span_{p.kind}") for p in BASE])
             spans = F.filter(spans, lambda s: ~F.exists(certain, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
         return F.transform(spans, lambda s: F.struct(
             F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(base).alias("base"),
@@ -113,7 +113,7 @@ def find_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
             *[vote.cast("int").alias(name) for name, vote in _votes(kind, s).items()]))
 
     parts = [candidates(p.kind, True) for p in BASE] + [candidates(p.kind, False) for p in LOOSE]
-    return found.withColumn("candidates", F.concat(*parts)).drop(*KINDS, text)
+    return found.withColumn(output, F.concat(*parts)).drop(*[f"__span_{kind}" for kind in KINDS])
 
 
 def _posteriors(counts: dict[tuple[int, ...], float], rounds: int = 30) -> dict[tuple[int, ...], float]:
@@ -160,9 +160,9 @@ def _train(rows: list[tuple[str, int, tuple[int, ...], float, float]], rounds: i
     return dict(weights)
 
 
-def fit_classifier(candidates: DataFrame) -> dict[tuple, float]:
+def fit_classifier(candidates: DataFrame, column: str = "candidates") -> dict[tuple, float]:
     """Weights of the span classifier, from the counts of vote patterns of all candidates (at most 81 x 4 sizes for each of the kinds)."""
-    one = candidates.select(F.explode("candidates").alias("c")).select("c.kind", "c.size", *[f"c.{name}" for name in _LABELERS])
+    one = candidates.select(F.explode(column).alias("c")).select("c.kind", "c.size", *[f"c.{name}" for name in _LABELERS])
     counted = one.groupBy("kind", "size", *_LABELERS).count().orderBy("kind", "size", *_LABELERS).collect()
     by_kind: dict[str, dict[tuple[int, ...], float]] = defaultdict(lambda: defaultdict(float))
     for row in counted:
@@ -187,11 +187,13 @@ def _chance(span: Column, weights: dict[tuple, float]) -> Column:
 
 def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the text, with ``spans``: array of (kind, start, end, base) of all personal data, by kind, then start; code points, end exclusive."""
-    stored = cut_lineage(find_candidates(docs, text))
-    weights = fit_classifier(stored)
-    kept = F.filter("candidates", lambda c: c["base"] | (_chance(c, weights) >= 0.5))
-    slim = F.transform(kept, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["base"].alias("base")))
-    return stored.withColumn("spans", slim).drop("candidates")
+    stored = cut_lineage(find_candidates(docs, text).drop(text))
+    return stored.withColumn("spans", _accepted("candidates", fit_classifier(stored))).drop("candidates")
+
+
+def _accepted(candidates: str, weights: dict[tuple, float]) -> Column:
+    kept = F.filter(candidates, lambda c: c["base"] | (_chance(c, weights) >= 0.5))
+    return F.transform(kept, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["base"].alias("base")))
 
 
 def redact(text: Column, spans: Column) -> Column:
@@ -210,6 +212,13 @@ def redact(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
+def redact_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with all personal data in ``text`` replaced; texts are scanned once to fit the classifier and once to be rewritten."""
+    found = find_candidates(docs, text, "__candidates")
+    spans = _accepted("__candidates", fit_classifier(found, "__candidates"))
+    return found.withColumn("__spans", spans).withColumn(text, redact(F.col(text), F.col("__spans"))).select(docs.columns)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = find_personal_data(docs.select("doc_id", "text"))

@@ -55,10 +55,10 @@ def looks_random(value: Column) -> Column:
 def scan_secrets(docs: DataFrame, owner: str, repository: str, text: str = "text") -> DataFrame:
     """``docs`` without the text, with row_id and ``candidates``: (kind, start, end, base, hash, random); stored once, read by all that follows."""
     found = with_spans(docs, BASE + FURTHER, text)
-    certain = F.concat(*[F.col(p.kind) for p in BASE])
+    certain = F.concat(*[F.col(f"__span_{p.kind}") for p in BASE])
 
     def candidates(pattern: Pattern, base: bool) -> Column:
-        spans = F.col(pattern.kind)
+        spans = F.col(f"__span_{pattern.kind}")
         if not base:
             spans = F.filter(spans, lambda s: ~F.exists(certain, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
         value = lambda s: secret_value(F.lit(pattern.kind), s["value"])

@@ -48,7 +48,7 @@ def _placed(values: Column, gaps: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, patterns: list[Pattern], text: str) -> DataFrame:
-    """``docs`` with one column per kind, an array of (start, end, value, before, after); text is read as empty where null."""
+    """``docs`` with a column ``__span_<kind>`` per kind, an array of (start, end, value, before, after); text is read as empty where null."""
     content = F.coalesce(F.col(text), F.lit(""))
     found = docs.withColumns({f"__{p.kind}": F.regexp_extract_all(content, F.lit(p.regex), F.lit(0)) for p in patterns})
     none = F.array().cast(f"array<{_SPAN}>")
@@ -58,7 +58,7 @@ def with_spans(docs: DataFrame, patterns: list[Pattern], text: str) -> DataFrame
         spans = F.filter(_placed(values, F.split(content, pattern.regex, -1)), lambda span: pattern.valid(span["value"]))
         return F.when(F.size(values) > 0, spans).otherwise(none)
 
-    out = found.withColumns({p.kind: placed(p) for p in patterns})
+    out = found.withColumns({f"__span_{p.kind}": placed(p) for p in patterns})
     return out.drop(*[f"__{p.kind}" for p in patterns])
 
 
