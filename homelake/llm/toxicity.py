@@ -73,10 +73,10 @@ def _featured(docs: DataFrame, text: str) -> DataFrame:
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = _Words()
         for batch in batches:
-            batch["features"] = [words.of(value) for value in batch.pop("text")]
+            batch["features"] = [words.of(value).tobytes() for value in batch.pop("text")]
             yield batch
 
-    return docs.select("doc_id", F.col(text).alias("text")).mapInPandas(features, "doc_id long, features array<int>")
+    return docs.select("doc_id", F.col(text).alias("text")).mapInPandas(features, "doc_id long, features binary")
 
 
 def _risk_terms(scores: np.ndarray, positives: int) -> tuple[float, float, float]:
@@ -160,7 +160,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text") -> Toxi
     kept_back = np.array([zlib.crc32(f"{x} split".encode()) % 4 == 0 for x in sample["doc_id"]])
     groups = [[], [], [], []]  # positives and unlabelled to train from, then those kept back
     for features, positive, back in zip(sample["features"], sample["positive"], kept_back):
-        groups[2 * back + (not positive)].append(np.asarray(features, dtype=np.int32))
+        groups[2 * back + (not positive)].append(np.frombuffer(features, dtype=np.int32))
     positive, unlabelled, back_positive, back_unlabelled = groups
     if not positive or not unlabelled:
         return nothing
@@ -183,22 +183,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text") -> Toxi
     return ToxicityModel(features, weights, bias, *_calibrate(*scores, prior))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 from ``THRESHOLD`` on)."""
+def score_toxicity(
+    docs: DataFrame, model: ToxicityModel, text: str = "text", score: str = "score", predicted: str = "predicted"
+) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``THRESHOLD`` on); columns of these names are replaced."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tuple(model))  # at most FEATURES numbers
-    slim = docs.drop("score", "predicted").withColumn("score", F.lit(0.0))
+    scored = docs.drop(predicted).withColumn(score, F.lit(0.0))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features, weights, bias, slope, offset = shared.value
         place = dict(zip(features.tolist(), weights.tolist()))
         words = _Words(frozenset(place))
         for batch in batches:
             raw = np.array([sum(place[x] for x in words.of(value).tolist()) for value in batch[text]]) + bias
-            batch["score"] = 1 / (1 + np.exp(-np.clip(slope * raw + offset, -30, 30)))
+            batch[score] = 1 / (1 + np.exp(-np.clip(slope * raw + offset, -30, 30)))
             yield batch
 
-    return slim.mapInPandas(score, slim.schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return scored.mapInPandas(add, scored.schema).withColumn(predicted, (F.col(score) >= THRESHOLD).cast("int"))
 
 
 def fit_on_training_folds(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
