@@ -24,25 +24,34 @@ def _text(template: str, **columns: str) -> Column:
     return text
 
 
-# ---- listings from pages: two per page, one of them new only while its number has not been seen ---------------
+# ---- listings from pages: two per page, one of them new only while its number has not been seen, and one without id; some pages repeat
+# ---- keys, hold NaN, hide a script in a comment or have broken JSON ---------------------------------------------
 
 
 def new_properties(spark: SparkSession, sf: str) -> DataFrame:
     body = (
-        '<script id="__NEXT_DATA__">{"props": {"pageProps": {"fallback": {"list": {"data": [{"id": "h<n>", "page": <p>, "urls": []}]},'
-        ' "more": {"data": {"items": [{"id": "h4000", "images": 1}]}}}}}}</script>'
+        '<script id="__NEXT_DATA__">{"props": {"pageProps": {"fallback": {"list": {"data": [<item>]},'
+        ' "more": {"data": {"items": [{"id": "h4000", "images": 1}, {"page": 0}]}}<rest>}}}}</script>'
     )
     pages = table(spark, sf, "pages").withColumn("n", F.length("html") % 5000).withColumn("page", F.col("page_id") + 1)
-    filled = pages.select("page", F.concat("html", _text(body, n="n", p="page")).alias("html"))
+    kind = F.col("page") % 6
+    item = (
+        F.when(kind == 1, _text('{"id": "first", "page": 0, "urls": 1, "id": "h<n>", "page": <p>}', n="n", p="page"))
+        .otherwise(_text('{"id": "h<n>", "page": <p>, "urls": []}', n="n", p="page"))
+    )
+    rest = F.when(kind == 2, ', "more": {"data": []}, "more": 1').when(kind == 3, ', "x": NaN').when(kind == 4, ', "x": [').otherwise("")
+    hidden = F.when(kind == 5, '<!-- <script id="__NEXT_DATA__">{"props": {}}</script> -->').otherwise("")
+    shown = pages.withColumns({"item": item, "rest": rest})
+    filled = shown.select("page", F.concat("html", hidden, _text(body, item="item", rest="rest")).alias("html"))
     history = table(spark, sf, "nation").select(F.concat(F.lit("h"), F.col("n_nationkey") + 4000).alias("id"))
     return ingest.new_properties(filled, history)
 
 
 NEW_PROPERTIES = """
-WITH listed AS (SELECT page_id + 1 AS page, 'h' || (length(html) % 5000) AS id FROM pages),
+WITH listed AS (SELECT page_id + 1 AS page, 'h' || (length(html) % 5000) AS id FROM pages WHERE (page_id + 1) % 6 <> 4),
 fresh AS (SELECT id, min(page) AS page FROM listed
           WHERE id NOT IN (SELECT 'h' || (n_nationkey + 4000) FROM nation) GROUP BY id),
-stop AS (SELECT min(page) AS page FROM (SELECT page FROM listed UNION SELECT max(page) + 1 FROM listed) AS p
+stop AS (SELECT min(page) AS page FROM (SELECT page FROM listed UNION SELECT max(page_id) + 2 FROM pages) AS p
          WHERE page NOT IN (SELECT page FROM fresh))
 SELECT page, 0 AS entry_pos, 0 AS item_pos, '{"id":"' || id || '","page":' || page || '}' AS record, id
 FROM fresh WHERE page < (SELECT page FROM stop)
@@ -55,8 +64,9 @@ _LISTED = (
     '{"id": "t<k>", "name": "Đất THỔ CƯ <k>"}]}}'
 )
 _DETAIL = (
-    '{"data": {"id": "p<k>", "name": "detail <name>", "insight_by_sector": ['
-    '{"sector_id": "s<k>", "sector_name": "S", "min_selling_price": 1.5}, {"object_code": "o<k>", "sector_id": "z<k>"}]}}'
+    '{"data": {<id>"object_code": "c<k>", "name": "detail <name>", "insight_by_sector": ['
+    '{"sector_id": "s<k>", "sector_name": "S", "min_selling_price": "12x", "project_id": "other", "field": {"new": 1}},'
+    ' {"object_code": "o<k>", "sector_id": "z<k>"}, {"sector_id": 0}, {"object_code": false, "sector_id": "f<k>"}, 5]}}'
 )
 _HISTORY = '{"data": {"value": [{"unit": 1, "year": 2024, "price_average": <price>, "percent": 0.5}]}}'
 
@@ -67,7 +77,9 @@ def _responses(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.floor("s_acctbal").alias("price"),
     )
     project = F.concat(F.lit("p"), "k")
-    detail = F.when(F.col("n") > 8, _text(_DETAIL, k="k", name="name")).otherwise('{"error": 1}')
+    # Some detail records lack the id; their prices are asked for by object code.
+    suppliers = suppliers.withColumn("id", F.when(F.col("n") % 4 == 1, "").otherwise(_text('"id": "p<k>", ', k="k")))
+    detail = F.when(F.col("n") > 8, _text(_DETAIL, id="id", k="k", name="name")).otherwise('{"error": 1}')
     history = F.when(F.col("price") > 0, _text(_HISTORY, price="price")).otherwise("{}")
     return {
         "quick_filter": suppliers.select(_text(_LISTED, k="k", name="name").alias("body")),
@@ -80,7 +92,7 @@ def _responses(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def projects(spark: SparkSession, sf: str) -> DataFrame:
     given = _responses(spark, sf)
-    rows = ingest.detailed_projects(ingest.listed_projects(given["quick_filter"]), given["details"])
+    rows = ingest.detailed_projects(ingest.listed_projects(given["quick_filter"]), ingest.response_data(given["details"], "id", "record"))
     return rows.select("id", F.get_json_object("record", "$.name").alias("name"))
 
 
@@ -89,32 +101,33 @@ PROJECTS = "SELECT 'p' || s_suppkey AS id, CASE WHEN s_nationkey > 8 THEN 'detai
 
 def subdivisions(spark: SparkSession, sf: str) -> DataFrame:
     given = _responses(spark, sf)
-    rows = ingest.listed_subdivisions(ingest.listed_projects(given["quick_filter"]), given["details"])
-    return rows.select("project_id", "sector_id", "object_code", "sector_name", "min_selling_price")
+    return ingest.listed_subdivisions(ingest.listed_projects(given["quick_filter"]), ingest.response_data(given["details"], "id", "record"))
 
 
 SUBDIVISIONS = """
-SELECT 'p' || s_suppkey AS project_id, 's' || s_suppkey AS sector_id, CAST(NULL AS VARCHAR) AS object_code, 'S' AS sector_name,
-       CAST(1.5 AS DOUBLE) AS min_selling_price
-FROM supplier WHERE s_nationkey > 8
-UNION ALL SELECT 'p' || s_suppkey, 'z' || s_suppkey, 'o' || s_suppkey, NULL, NULL FROM supplier WHERE s_nationkey > 8
+SELECT replace(replace(record, '<k>', CAST(s_suppkey AS VARCHAR)), '<project>', ',"project_id":"p' || s_suppkey || '"}') AS record
+FROM supplier, (VALUES
+  ('{"field":{"new":1},"min_selling_price":"12x","sector_id":"s<k>","sector_name":"S"<project>'),
+  ('{"object_code":"o<k>","sector_id":"z<k>"<project>'), ('{"sector_id":0<project>'), ('{"object_code":false,"sector_id":"f<k>"<project>')
+) AS sectors(record) WHERE s_nationkey > 8
 """
 
 
 def project_prices(spark: SparkSession, sf: str) -> DataFrame:
     given = _responses(spark, sf)
     listed = ingest.listed_projects(given["quick_filter"])
+    details = ingest.response_data(given["details"], "id", "record")
     targets = ingest.price_targets(
-        ingest.detailed_projects(listed, given["details"]),
-        ingest.listed_subdivisions(listed, given["details"]),
-        given["visited"],
+        ingest.detailed_projects(listed, details), ingest.listed_subdivisions(listed, details), given["visited"]
     )
     return ingest.price_records(targets, given["history"], given["charts"])
 
 
 PROJECT_PRICES = """
 WITH targets AS (
-  SELECT 'p' || s_suppkey AS id, s_nationkey AS n, CAST(floor(s_acctbal) AS BIGINT) AS price FROM supplier WHERE s_nationkey <> 20
+  SELECT 'p' || s_suppkey AS id, s_nationkey AS n, CAST(floor(s_acctbal) AS BIGINT) AS price FROM supplier
+  WHERE s_nationkey <> 20 AND NOT (s_nationkey > 8 AND s_nationkey % 4 = 1)
+  UNION ALL SELECT 'c' || s_suppkey, NULL, NULL FROM supplier WHERE s_nationkey > 8 AND s_nationkey % 4 = 1
   UNION ALL SELECT 's' || s_suppkey, NULL, NULL FROM supplier WHERE s_nationkey > 8
   UNION ALL SELECT 'o' || s_suppkey, NULL, NULL FROM supplier WHERE s_nationkey > 8)
 SELECT '{"project_id":"' || id || '","price_history":' ||

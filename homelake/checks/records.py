@@ -139,8 +139,12 @@ def target_ids(spark: SparkSession, sf: str) -> DataFrame:
     )
     visited = table(spark, sf, "nation").where(F.col("n_regionkey") == 1).select(F.col("n_nationkey").alias("project_id"))
     sources = [(suppliers, ["id", "object_code"]), (customers, ["id", "object_code", "sector_id"])]
-    cast = [(df.select([F.col(c).cast("string") for c in df.columns]), names) for df, names in sources]
-    return op.collect_keys(cast, visited, "project_id")
+    # Identifiers from JSON records: the text "0" is one, the numbers 0 and false are none.
+    documents = table(spark, sf, "region").select(F.explode(F.array(
+        F.lit('{"id": "0"}'), F.lit('{"id": 0, "object_code": "unused"}'), F.lit('{"id": false}'), F.lit('{"id": -0.0}'), F.lit('{"id": "false"}'),
+        F.concat(F.lit('{"object_code": "r'), "r_regionkey", F.lit('"}')))).alias("record"))
+    coded = documents.select(op.json_key(F.col("record"), "id").alias("id"), op.json_key(F.col("record"), "object_code").alias("object_code"))
+    return op.collect_keys([*sources, (coded, ["id", "object_code"])], visited, "project_id")
 
 
 TARGET_IDS = """
@@ -148,8 +152,9 @@ SELECT DISTINCT project_id FROM (
   SELECT CASE WHEN s_suppkey = 5 THEN s_name ELSE CAST(s_suppkey AS VARCHAR) END AS project_id FROM supplier
   UNION ALL
   SELECT CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey ELSE c_nationkey END AS VARCHAR)
-  FROM customer WHERE c_mktsegment <> 'MACHINERY')
-WHERE project_id <> '0' AND project_id NOT IN (SELECT CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_regionkey = 1)
+  FROM customer WHERE c_mktsegment = 'BUILDING' OR (c_mktsegment <> 'MACHINERY' AND c_nationkey <> 0)
+  UNION ALL SELECT 'r' || r_regionkey FROM region UNION ALL SELECT '0' UNION ALL SELECT 'false')
+WHERE project_id NOT IN (SELECT CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_regionkey = 1)
 """
 
 
@@ -163,7 +168,7 @@ def fallback_detail(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_custkey").alias("id"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("name"),
         F.col("o_totalprice").alias("price"), F.col("o_orderkey").alias("order_key"),
     )
-    return op.with_fallback(base, detail, "id")
+    return op.with_fallback(base, detail, "id", ["name", "segment"])
 
 
 FALLBACK_DETAIL = """
@@ -181,12 +186,14 @@ _SCRIPTS = {
     0: '{"z": {"data": [%(item)s, {"id": "second", "name": null}]}, "a": {"data": {"items": [%(item)s, 7]}}, "n": 5}',
     1: '{"x": {"data": {"items": {"id": 1}}}, "y": {"data": "text"}, "w": [1], "v": {"other": [%(item)s]}}',
     2: '{"q": {"data": []}, "r": {"data": [%(item)s]}}',
+    6: '{"z": {"data": 1}, "z": {"data": [%(item)s]}}',
+    7: '{"m": NaN, "r": {"data": [%(item)s]}}',
 }
 
 
 def html_json_extract(spark: SparkSession, sf: str) -> DataFrame:
     """Pages with a data script put in: by page number with lists and items, no lists, an empty list, broken JSON,
-    another script id, and none."""
+    another script id, none, a repeated key, NaN, and a script in a comment."""
     item = F.concat(
         F.lit('{"id": '), "page_id", F.lit(', "name": "n'), "page_id", F.lit('", "urls": [1, 2], "images": {"a": 1}, "p": 2.50}')
     )
@@ -201,13 +208,17 @@ def html_json_extract(spark: SparkSession, sf: str) -> DataFrame:
             parts += [item, F.lit(piece)]
         return F.concat(*parts)
 
-    kind = F.pmod("page_id", F.lit(6))
+    kind = F.pmod("page_id", F.lit(9))
     added = (
         F.when(kind == 0, script('<script id="__NEXT_DATA__" type="application/json">', filled(_SCRIPTS[0])))
         .when(kind == 1, script("<script type='application/json' id='__NEXT_DATA__'>", filled(_SCRIPTS[1])))
         .when(kind == 2, script('<SCRIPT\ncrossorigin ID = "__NEXT_DATA__" >', filled(_SCRIPTS[2])))
         .when(kind == 3, F.concat(F.lit('<script id="__NEXT_DATA__">{"props": {"pageProps": {"fallback": '), item, F.lit("</script>")))
         .when(kind == 4, script('<script id="__OTHER_DATA__" data-id="__NEXT_DATA__">', filled(_SCRIPTS[2])))
+        .when(kind == 6, script('<script id="__NEXT_DATA__">', filled(_SCRIPTS[6])))
+        .when(kind == 7, script('<script id="__NEXT_DATA__">', filled(_SCRIPTS[7])))
+        .when(kind == 8, F.concat(
+            script('<!-- <script id="__NEXT_DATA__">', filled(_SCRIPTS[0])), F.lit(" -->"), script('<script id="__NEXT_DATA__">', filled(_SCRIPTS[2]))))
         .otherwise("")
     )
     pages = table(spark, sf, "pages").select("page_id", F.concat("html", added).alias("html"))
@@ -217,9 +228,9 @@ def html_json_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 HTML_JSON_EXTRACT = """
 WITH item AS (SELECT page_id, '{"id":' || page_id || ',"name":"n' || page_id || '","p":2.5}' AS record FROM pages)
-SELECT page_id, 0 AS entry_pos, 0 AS item_pos, record FROM item WHERE page_id % 6 = 0
-UNION ALL SELECT page_id, 0, 1, '{"id":"second","name":null}' FROM item WHERE page_id % 6 = 0
-UNION ALL SELECT page_id, 1, 0, record FROM item WHERE page_id % 6 IN (0, 2)
+SELECT page_id, 0 AS entry_pos, 0 AS item_pos, record FROM item WHERE page_id % 9 IN (0, 6)
+UNION ALL SELECT page_id, 0, 1, '{"id":"second","name":null}' FROM item WHERE page_id % 9 = 0
+UNION ALL SELECT page_id, 1, 0, record FROM item WHERE page_id % 9 IN (0, 2, 7, 8)
 """
 
 

@@ -57,6 +57,10 @@ CASE WHEN o_orderstatus = 'P' THEN o_orderpriority
      WHEN o_orderpriority = '1-URGENT' THEN {day}
      WHEN o_orderpriority = '2-HIGH' THEN {day} || 'T10:00:00Z'
      WHEN o_orderpriority = '3-MEDIUM' THEN CAST(year(o_orderdate) AS {text})
+     WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN {day} || ' garbage'
+     WHEN o_orderstatus = 'O' AND o_orderkey % 4 = 0 THEN {day} || 'Tgarbage'
+     WHEN o_orderstatus = 'O' AND o_orderkey % 4 = 1 THEN {day} || ' 10:30'
+     WHEN o_orderstatus = 'O' AND o_orderkey % 4 = 2 THEN {day} || 'T10:00:00.25+07:00 '
      WHEN o_orderstatus = 'F' THEN year(o_orderdate) || '-' || month(o_orderdate) || '-' || day(o_orderdate)
      ELSE substr({day}, 1, 7) END
 """

@@ -6,9 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_DAY = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ](?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?(?: ?(?:Z|UTC|[+-]\d{2}(?::?\d{2})?))?)?$"
+
+
 def lenient_date(text: Column) -> Column:
-    """Date or null.  A bare year or year-month is no date here, although Spark's own cast would take it."""
-    return F.when(F.trim(text).rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("date"))
+    """Date or null.
+
+    The day may be followed by a time of at least hour and minute, with or without seconds and zone, and by nothing else.  A bare year or
+    year-month is no date here, although Spark's own cast would take it.
+    """
+    day = F.regexp_extract(F.trim(text), _DAY, 1)
+    return F.when(day != "", day.try_cast("date"))
 
 
 def epoch_day_text(millis: Column, pattern: str = "dd-MM-yyyy") -> Column:

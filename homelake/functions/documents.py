@@ -1,4 +1,8 @@
-"""JSON text."""
+"""JSON text.
+
+The variant parser refuses an object that repeats a key, ``NaN`` and values beyond its size limit.  Ordinary JSON readers accept these (the last
+of repeated keys holds), so texts are taken apart with Spark's JSON reader, which hands on each member as text.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +10,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_whole(text: Column) -> Column:
-    """Variant of a text that is one JSON value, else null.
+def parse_whole(text: Column, shape: str) -> Column:
+    """The text read as ``shape`` (a type in SQL), or null when it is not exactly one JSON value.
 
-    Spark's own parser stops after the first value and accepts what follows; inside brackets it cannot.
+    Spark's reader stops after the first value and accepts what follows; inside brackets it cannot.
     """
-    boxed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    values = F.try_variant_get(boxed, "$", "array<variant>")
+    values = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{shape}>")
     return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
+
+
+def is_json(text: Column) -> Column:
+    """Whether the text is exactly one JSON value."""
+    return F.coalesce(F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")) == 1, F.lit(False))
+
+
+def json_objects(list_text: Column) -> Column:
+    """Texts of the objects in a JSON list, as structs (pos, item) in order; other elements are left out."""
+    items = F.transform(F.from_json(list_text, "array<string>"), lambda item, pos: F.struct(pos.alias("pos"), item.alias("item")))
+    return F.filter(items, lambda entry: F.coalesce(entry["item"].startswith("{"), F.lit(False)))
+
+
+def last_of_each_key(members: Column) -> Column:
+    """Entries (key, value) of a map read from JSON, where a repeated key keeps its last value."""
+    keys = F.map_keys(members)
+    return F.filter(F.map_entries(members), lambda entry, at: ~F.array_contains(F.slice(keys, at + 2, F.size(keys)), entry["key"]))
+
+
+def compact(text: Column) -> Column:
+    """The value in Spark's own notation; a text that the variant parser refuses stays as it is."""
+    return F.coalesce(F.to_json(F.try_parse_json(text)), text)
+
+
+def is_container(text: Column) -> Column:
+    return F.coalesce(text.startswith("{") | text.startswith("["), F.lit(False))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from homelake.session import cut_lineage
+
 _RANK, _BRINGS = "__rank", "__brings"
 
 
@@ -37,34 +39,44 @@ def first_in_batch(batch: DataFrame, key: str, order_cols: list[str]) -> DataFra
 def new_rows(
     batch: DataFrame, history: DataFrame, key: str, order_cols: list[str], long_history: bool = False
 ) -> DataFrame:
-    """First occurrences whose key the history does not hold.
+    """First occurrences whose key the history does not hold; rows without a key are no occurrences.
 
     The batch is reduced to one row per key before the join.  With ``long_history`` the history is first
     cut to the keys of the batch, so a history far larger than the batch is filtered where it is read.
     """
-    fresh = first_in_batch(batch, key, order_cols)
+    keyed = batch.where(F.col(key).isNotNull())
+    fresh = first_in_batch(keyed, key, order_cols)
     known = history.select(key)
     if long_history:
-        known = known.join(batch.select(key).distinct(), key, "left_semi")
+        known = known.join(keyed.select(key).distinct(), key, "left_semi")
     return fresh.join(known.distinct(), key, "left_anti")
 
 
 def prefix_until_stale(
-    batch: DataFrame, history: DataFrame, page: str, pos_cols: list[str], key: str, first_page: int = 1
+    batch: DataFrame,
+    history: DataFrame,
+    page: str,
+    pos_cols: list[str],
+    key: str,
+    first_page: int = 1,
+    unread: DataFrame | None = None,
+    long_history: bool = False,
 ) -> DataFrame:
     """New rows of the pages before the first one that brings none.
 
     A page brings none when all its keys were seen on earlier pages or in the history, when it has no rows
-    or when it is missing.  That page is the smallest number from ``first_page`` on that is not among the pages with
+    or when it is missing.  A page of ``unread`` (a table with the page column) could not be read and does not end the crawl.  That page is the smallest number from ``first_page`` on that is not among the pages with
     new rows: the first page itself or the successor of one of them.
     """
-    fresh = new_rows(batch, history, key, [page, *pos_cols])
+    # Stored: the stopping page and the result both need it, and the comparison with the history is made once.
+    fresh = cut_lineage(new_rows(batch, history, key, [page, *pos_cols], long_history))
     number = batch.schema[page].dataType
     start = batch.sparkSession.range(1).select(F.lit(first_page).cast(number).alias(page), F.lit(False).alias(_BRINGS))
     here = F.struct(F.col(page).alias(page), F.lit(True).alias(_BRINGS))
     following = F.struct((F.col(page) + 1).cast(number).alias(page), F.lit(False).alias(_BRINGS))
+    bringing = fresh.select(page) if unread is None else fresh.select(page).union(unread.select(page))
     candidates = (
-        fresh.where(F.col(page) >= first_page).select(F.inline(F.array(here, following))).unionByName(start)
+        bringing.where(F.col(page) >= first_page).select(F.inline(F.array(here, following))).unionByName(start)
     )
     stale = candidates.groupBy(page).agg(F.bool_or(_BRINGS).alias(_BRINGS)).where(~F.col(_BRINGS))
     return fresh.where(F.col(page).between(F.lit(first_page), stale.agg(F.min(page)).scalar() - 1))

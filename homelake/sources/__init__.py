@@ -1,6 +1,6 @@
 """Readers and writers: run-stamped JSON lines, Parquet tables, catalog tables and pages with embedded JSON."""
 
-from homelake.sources.embedded import drop_keys, extract_embedded_json
+from homelake.sources.embedded import drop_keys, extract_embedded_json, unreadable_pages
 from homelake.sources.readers import (
     history_ids,
     load_fixture,

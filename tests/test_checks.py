@@ -15,7 +15,7 @@ def database():
     connection.close()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", oracle_sql())
 def test_query_agrees_with_its_sql(spark, database, name):
     mine = queries()[name](spark, SF).toPandas()
     assert difference(mine, database.execute(oracle_sql()[name]).df()) is None

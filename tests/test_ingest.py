@@ -64,14 +64,33 @@ def test_a_missing_or_empty_page_stops_too(spark, responses):
     assert ingest.new_properties(gap.where("page > 1"), seen).count() == 0
 
 
+def test_unreadable_pages_are_kept_apart_and_end_nothing(spark):
+    def raw(text):
+        return f'<script id="__NEXT_DATA__">{text}</script>'
+
+    rows = [
+        (1, page({"data": items("a")})),
+        (2, raw('{"props": {"pageProps": {"fallback": {"k": {"data": [{"id": "b"}]}}')),
+        (3, raw('{"props": {"pageProps": {"fallback": {"k": {"data": [{"id": "c", "x": NaN, "in": {"y": 1, "y": 2}}]}}}}} tail')),
+        (4, raw('{"props": {"pageProps": {"fallback": {"k": {"data": [{"id": "d", "in": {"y": 1, "y": 2}}, {"z": 1}]}}}}}')),
+        (5, page({"data": [{"no": "id"}]})),
+        (6, page({"data": items("late")})),
+    ]
+    pages = spark.createDataFrame(rows, "page bigint, html string")
+    seen = spark.createDataFrame([("none",)], "id string")
+    assert sorted(r["id"] for r in ingest.new_properties(pages, seen).collect()) == ["a", "d"]
+    assert sorted(r["page"] for r in ingest.rejected_pages(pages).collect()) == [2, 3]
+
+
 def test_projects_and_subdivisions(responses):
     listed = ingest.listed_projects(responses["quick_filter"])
     assert sorted(r["id"] for r in listed.collect()) == ["p1", "p2", "p4"]
-    projects = {r["id"]: json.loads(r["record"]) for r in ingest.detailed_projects(listed, responses["details"]).collect()}
+    details = ingest.response_data(responses["details"], "id", "record")
+    projects = {r["id"]: json.loads(r["record"]) for r in ingest.detailed_projects(listed, details).collect()}
     assert {k: v.get("name") for k, v in projects.items()} == {"p1": "One, detailed", "p2": "Two", "p4": None}
-    sectors = ingest.listed_subdivisions(listed, responses["details"]).collect()
-    assert sorted((r["project_id"], r["sector_id"], r["object_code"]) for r in sectors) == [
-        ("p1", "s1", None), ("p1", "s2", "o2")]
+    sectors = [json.loads(r["record"]) for r in ingest.listed_subdivisions(listed, details).collect()]
+    assert sorted(sectors, key=str) == [
+        {"object_code": "o2", "sector_id": "s2", "project_id": "p1"}, {"sector_id": "s1", "sector_name": "S1", "project_id": "p1"}]
 
 
 def test_a_run_writes_once_and_the_next_only_what_is_new(spark, responses, tmp_path):
@@ -80,7 +99,7 @@ def test_a_run_writes_once_and_the_next_only_what_is_new(spark, responses, tmp_p
     bronze = f"{tmp_path}/bronze"
     first = run_ingest(spark, f"{tmp_path}/responses", bronze, "20240101_000000")
     # The id "old" is new in an empty lake, so page 3 is not stale and page 4 follows.
-    assert first == {"properties": 6, "projects": 3, "subdivisions": 2, "project_prices": 5}
+    assert first == {"properties": 6, "projects": 3, "subdivisions": 2, "project_prices": 5, "rejected_pages": 0}
     assert {r["id"] for r in history_ids(spark, run_glob(bronze, "properties"), "id").collect()} == {
         "a", "b", "c", "d", "old", "later"}
 
@@ -92,7 +111,7 @@ def test_a_run_writes_once_and_the_next_only_what_is_new(spark, responses, tmp_p
     assert by_id["p2"]["price_history"] is None
 
     second = run_ingest(spark, f"{tmp_path}/responses", bronze, "20240102_000000")
-    assert second == {"properties": 0, "projects": 3, "subdivisions": 2, "project_prices": 0}
+    assert second == {"properties": 0, "projects": 3, "subdivisions": 2, "project_prices": 0, "rejected_pages": 0}
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         run_ingest(spark, f"{tmp_path}/responses", bronze, "20240102_000000")
 
@@ -102,9 +121,11 @@ def test_a_run_writes_once_and_the_next_only_what_is_new(spark, responses, tmp_p
 
 
 def test_price_targets_fall_through_candidate_keys(spark):
-    projects = spark.createDataFrame([("p1", "{}"), (None, '{"object_code":"o1"}')], "id string, record string")
-    sectors = spark.createDataFrame([(None, None, "s1"), (None, "o2", "s2"), ("", "o3", "s3"), ("p1", None, None)],
-                                    "id string, object_code string, sector_id string")
+    def records(*texts):
+        return spark.createDataFrame([(text,) for text in texts], "record string")
+
+    projects = records('{"id": "p1"}', '{"object_code": "o1"}')
+    sectors = records('{"sector_id": "s1"}', '{"object_code": "o2"}', '{"id": "", "object_code": "o3"}', '{"id": "p1"}', '{"id": 0}')
     visited = spark.createDataFrame([("o2",)], "project_id string")
     found = ingest.price_targets(projects, sectors, visited).collect()
     assert sorted(r["project_id"] for r in found) == ["o1", "p1", "s1"]
