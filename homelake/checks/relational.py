@@ -398,7 +398,10 @@ def pivot_prices(spark: SparkSession, sf: str) -> DataFrame:
         F.year("o_orderdate").alias("year"),
         F.when(F.col("o_orderstatus") != "P", F.month("o_orderdate")).alias("month"),
     )
-    return op.pivot_series(series, "c_nationkey", "year", "month", "o_totalprice", "o_orderkey", MONTHS)
+    found = set(op.series_keys(series, "year", "month"))
+    pivoted = op.pivot_series(series, "c_nationkey", "year", "month", "o_totalprice", "o_orderkey")
+    # The SQL names its columns beforehand: months without an order are empty there, and one it does not know would be a column too many.
+    return pivoted.withColumns({name: F.lit(None).cast("double") for name in MONTHS if name not in found})
 
 
 PIVOT_PRICES = """

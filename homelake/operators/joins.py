@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
-_NULL_SPREAD = 4096
-_SALT, _PARTS = "__salt", "__parts"
+_SALT, _PARTS, _HOT = "__salt", "__parts", "__hot"
 
 
 def lookup_join(
@@ -23,25 +22,23 @@ def lookup_join(
 
     A key with more than ``hot_rows`` fact rows is cut into parts of about that size: its fact rows are
     salted by a hash of ``spread_by`` (columns that tell the rows of one key apart) and only its dimension row
-    is repeated, once per part.  Missing keys match nothing and are spread freely.
+    is repeated, once per part.  Rows without a key match nothing and are cut by their number in the same way.
 
     The list of hot keys is broadcast: it has at most rows / ``hot_rows`` entries.  Neither side gets a
     broadcast hint; Spark broadcasts ``dim`` where its measured size is below the session's threshold and otherwise
     shuffles both sides.  Key counts are taken from ``fact``; where that is the result of other joins, pass
-    ``key_counts`` (key, count) of the stored table instead of running the joins twice.
+    ``key_counts`` (key, count, the missing key included) of the stored table instead of running the joins twice.
     """
     counts = key_counts if key_counts is not None else fact.groupBy(key).count()
     parts = F.ceil(F.col("count") / hot_rows).cast("int").alias(_PARTS)
-    hot = counts.where((F.col("count") > hot_rows) & F.col(key).isNotNull()).select(key, parts)
-
-    share = F.when(F.col(key).isNull(), F.lit(_NULL_SPREAD)).otherwise(F.coalesce(F.col(_PARTS), F.lit(1)))
+    hot = counts.where(F.col("count") > hot_rows).select(F.col(key).alias(_HOT), parts)
     salted = (
-        fact.join(F.broadcast(hot), key, "left")
-        .withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), share).cast("int"))
-        .drop(_PARTS)
+        fact.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(_HOT)), "left")
+        .withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col(_PARTS), F.lit(1))).cast("int"))
+        .drop(_PARTS, _HOT)
     )
     every_part = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
-    repeated = dim.join(F.broadcast(hot), key, "left").withColumn(_SALT, every_part).drop(_PARTS)
+    repeated = dim.join(F.broadcast(hot), F.col(key) == F.col(_HOT), "left").withColumn(_SALT, every_part).drop(_PARTS, _HOT)
     order = [*fact.columns, *[name for name in dim.columns if name != key]]
     return salted.join(repeated, [key, _SALT], how).select(order)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_SERIES = 10_000
 SERIES = "__series"
 
 
@@ -20,12 +19,13 @@ def with_series_key(df: DataFrame, year: str, month: str, prefix: str = "price_"
 
 
 def series_keys(df: DataFrame, year: str, month: str, prefix: str = "price_") -> list[str]:
-    """The month keys present, in order.  Refuses a table with more months than a wide row can hold."""
-    months = df.select(year, month).distinct()
-    keys = with_series_key(months, year, month, prefix).select(SERIES).distinct().limit(MAX_SERIES + 1).collect()
-    if len(keys) > MAX_SERIES:
-        raise ValueError(f"more than {MAX_SERIES} distinct months; check the year and month columns")
-    return sorted(row[0] for row in keys)
+    """The month keys present, in order.  More than the session's ``spark.sql.pivotMaxValues`` are refused, as Spark's own pivot does."""
+    keys = with_series_key(df, year, month, prefix).select(SERIES).distinct()
+    found = keys.agg(F.count("*").alias("n"), F.array_sort(F.collect_list(SERIES)).alias("keys")).first()
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    if found["n"] > most:
+        raise ValueError(f"{found['n']} distinct months, spark.sql.pivotMaxValues is {most}; check the year and month columns")
+    return list(found["keys"])
 
 
 def pivot_series(

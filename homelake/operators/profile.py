@@ -30,7 +30,7 @@ def json_profile(df: DataFrame, json_col: str) -> DataFrame:
 
     A list carries the type of its first element, as in ``list[text]``.  Texts that are no JSON object are skipped.
     """
-    whole = F.try_variant_get(parse_whole(F.col(json_col)), "$", "map<string,variant>")
+    whole = parse_whole(F.col(json_col), "map<string,variant>")
     members = df.select(F.explode(whole).alias("key", "value"))
     first = F.try_variant_get("value", "$[0]", "variant")
     named = members.select(

@@ -75,9 +75,9 @@ def left_join_count(
 
 
 def std_by_key(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """(key, sample standard deviation, count) without the missing key."""
+    """(key, sample standard deviation, count); the missing key has a row for its count."""
     stats = {out: F.stddev_samp(value), "count": F.count(F.lit(1))}
-    return summary_by(df, [key], stats, F.col(key).isNotNull())
+    return summary_by(df, [key], stats)
 
 
 def with_group_std(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from functools import lru_cache
 from uuid import uuid4
@@ -29,14 +30,27 @@ def build_session(app_name: str, master: str | None = None, conf: dict[str, str]
     return builder.getOrCreate()
 
 
+_STORED: list[str] = []
+
+
 @lru_cache(maxsize=1)
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="homelake-")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names, or a temporary one where none is named (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """Folder for intermediate tables: the one the cluster names.  Only a local session may go without one (tests) and gets a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir (--work-dir of the jobs)")
+    return named or _own_folder()
+
+
+def remove_stored(spark: SparkSession) -> None:
+    """Delete the tables that :func:`cut_lineage` stored; for the end of a job, when nothing reads them any more."""
+    while _STORED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -46,4 +60,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -83,6 +83,15 @@ def test_safe_div_and_flags(spark):
 
 
 def test_parse_whole_rejects_trailing_text(spark):
-    texts = ['{"a":1}', '{"a":1} x', '{"a":1}{"b":2}', '1,2', "", None, "[1]", "{bad"]
-    kept = evaluate(spark, lambda c: F.to_json(fn.parse_whole(c)), texts)
-    assert kept == ['{"a":1}', None, None, None, None, None, "[1]", None]
+    texts = ['{"a":1}', '{"a":1} x', '{"a":1}{"b":2}', '1,2', "", None, "[1]", "{bad", '{"a":NaN}', '{"a":1,"a":2}']
+    assert evaluate(spark, lambda c: fn.parse_whole(c, "struct<a:string>")["a"], texts) == [
+        "1", None, None, None, None, None, None, None, '"NaN"', "2"]
+    assert evaluate(spark, fn.is_json, texts) == [True, False, False, False, False, False, True, False, True, True]
+
+
+def test_json_objects_and_repeated_keys(spark):
+    texts = ['[{"a": 1}, 7, "x", {"b": [1, {"c": 2}]}, null]', "{}", "x", None, "[]"]
+    items = evaluate(spark, lambda c: F.to_json(fn.json_objects(c)), texts)
+    assert items == ['[{"pos":0,"item":"{\\"a\\":1}"},{"pos":3,"item":"{\\"b\\":[1,{\\"c\\":2}]}"}]', None, None, None, "[]"]
+    last = evaluate(spark, lambda c: F.to_json(F.map_from_entries(fn.last_of_each_key(F.from_json(c, "map<string,variant>")))), ['{"a":1,"b":2,"a":3}'])
+    assert last == ['{"b":2,"a":3}']

@@ -5,6 +5,7 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from homelake import operators as op
 from homelake.checks import CHECKS
@@ -59,5 +60,10 @@ def test_wide_listings_are_shuffled_once_per_join_key(spark):
     assert len(on_listings) == 2
 
 
+def test_median_reads_its_source_twice(spark):
+    text = plan(op.exact_median(table(spark, SF, "orders"), ["o_custkey"], F.col("o_totalprice"), "m"))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M)) == 2 and "Union" not in text
+
+
 def test_top_k_keeps_only_the_best_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan(gold.top_areas(table(spark, SF, "orders"), ["o_custkey"], "o_totalprice"))
