@@ -80,14 +80,28 @@ def _point(slot: Column) -> Column:
     return F.conv(F.reverse(F.lpad(F.bin(slot), _BITS, "0")), 2, 10).cast("long") / F.lit(float(1 << _BITS))
 
 
+def _edge(block: Column) -> Column:
+    """First word of a block in its source's stream; the first blocks take the remainder, a word each."""
+    short, longer = F.greatest(F.floor(F.col("source_size") / F.col("blocks")), F.lit(1)), F.col("source_size") % F.col("blocks")
+    return block * short + F.least(block, longer)
+
+
+def _block_of(word: Column) -> Column:
+    short, longer = F.greatest(F.floor(F.col("source_size") / F.col("blocks")), F.lit(1)), F.col("source_size") % F.col("blocks")
+    begun = longer * (short + 1)
+    return F.when(word < begun, F.floor(word / (short + 1))).otherwise(longer + F.floor((word - begun) / short))
+
+
 def _schedule(spark: SparkSession, sources: DataFrame) -> DataFrame:
-    """(number, place): the source's number and rank of each slot, as many as its target needs."""
-    edged = _running(sources.withColumn("__all", F.lit(0)), ["__all"], ["number"], "target", "low")
-    total = sources.agg(F.sum("target")).first()[0] or 0.0
-    # Some more slots than the targets need: a source's share of the first n points is off by at most log2(n) + 2 slots.
-    slots = int(total / BLOCK_WORDS) + 64
-    width = F.lit(total or 1.0)
-    share = edged.where("target > 0").select("number", (F.col("low") / width).alias("low"), ((F.col("low") + F.col("target")) / width).alias("high"))
+    """(number, place): number and rank of every slot of each source, as many as its goal needs.
+
+    The points of as many slots as all sources need are mapped through the cumulated needs.  A source's share of them is off by
+    at most about log2(slots); what is missing is put at the end of the schedule, what is over goes.
+    """
+    edged = _running(sources.withColumn("__all", F.lit(0)), ["__all"], ["number"], "need", "low")
+    slots = sources.agg(F.sum("need")).first()[0] or 0
+    width = F.lit(float(slots or 1))
+    share = edged.where("need > 0").select("number", (F.col("low") / width).alias("low"), ((F.col("low") + F.col("need")) / width).alias("high"))
     # Both sides meet in cells of equal width, an equal join instead of a range join.
     cells = F.lit(CELLS)
     first, last = F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), cells - 1)
@@ -100,7 +114,11 @@ def _schedule(spark: SparkSession, sources: DataFrame) -> DataFrame:
     runs = placed.groupBy("number", "run").agg(F.count("*").alias("n"))
     ahead = _running(runs, ["number"], ["run"], "n", "ahead").drop("n")
     within = F.row_number().over(Window.partitionBy("number", "run").orderBy("slot")) - 1
-    return placed.withColumn("within", within).join(ahead, ["number", "run"]).select("number", (F.col("ahead") + F.col("within")).alias("place"))
+    ranked = placed.withColumn("within", within).join(ahead, ["number", "run"]).select("number", (F.col("ahead") + F.col("within")).alias("place"))
+    have = runs.groupBy("number").agg(F.sum("n").alias("have"))
+    short = sources.select("number", "need").join(have, "number", "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < need")
+    added = short.select("number", F.explode(F.sequence(F.col("have"), F.col("need") - 1)).alias("place"))
+    return ranked.unionByName(added)
 
 
 def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -108,7 +126,11 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", kee
     spark = docs.sparkSession
     content = F.xxhash64("doc_id", F.lit("shuffle"))
     sizes = cut_lineage(docs.select("doc_id", *keep, F.col(source).alias("source"), word_count(text).alias("size")).withColumn("shuffled", content))
-    sources = cut_lineage(source_targets(sizes))
+    # A source's goal in whole words, and how many slots reach it: whole passes over its blocks, then the blocks of the rest.
+    goal, rest = F.round("target").cast("long"), F.col("goal") % F.greatest("source_size", F.lit(1))
+    passes = F.floor(F.col("goal") / F.greatest("source_size", F.lit(1))) * F.col("blocks")
+    need = F.when(rest > 0, passes + _block_of(rest - 1) + 1).otherwise(passes)
+    sources = cut_lineage(source_targets(sizes).withColumn("goal", goal).withColumn("need", need))
 
     # Where each document stands in its source's stream.
     at = sizes.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select(
@@ -124,28 +146,19 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", kee
         "nth", F.row_number().over(Window.partitionBy("number", "part").orderBy(*order)))
     stood = within.join(ahead, ["number", "part"]).withColumn("first", F.col("ahead") + F.col("within"))
 
-    # A document's words by block: block j covers the words from edge(j) to edge(j + 1) of the stream; the first blocks take the remainder.
-    short = F.greatest(F.floor(F.col("source_size") / F.col("blocks")), F.lit(1))
-    longer = F.col("source_size") % F.col("blocks")
-
-    def edge(block: Column) -> Column:
-        return block * short + F.least(block, longer)
-
-    def block_of(word: Column) -> Column:
-        return F.when(word < longer * (short + 1), F.floor(word / (short + 1))).otherwise(longer + F.floor((word - longer * (short + 1)) / short))
-
+    # A document's words by block: block j covers the words from edge(j) to edge(j + 1) of the stream.
     end = F.col("first") + F.col("size")
-    touched = F.when(F.col("size") > 0, F.sequence(block_of(F.col("first")), block_of(end - 1)))
+    touched = F.when(F.col("size") > 0, F.sequence(_block_of(F.col("first")), _block_of(end - 1)))
     pieces = stood.withColumn("block", F.explode_outer(touched)).withColumns({
-        "from": F.greatest(F.col("first"), edge(F.col("block"))), "to": F.least(end, edge(F.col("block") + 1)), "base": edge(F.col("block")),
-        "length": edge(F.col("block") + 1) - edge(F.col("block")),
+        "from": F.greatest(F.col("first"), _edge(F.col("block"))), "to": F.least(end, _edge(F.col("block") + 1)), "base": _edge(F.col("block")),
+        "length": _edge(F.col("block") + 1) - _edge(F.col("block")),
     })
 
     # Whole takes of each block, and the one slot of each source that is cut to meet the target.
-    goals = sources.select("number", "source_size", "blocks", F.round("target").cast("long").alias("goal"))
-    slots = _schedule(spark, sources).join(goals, "number").withColumn("block", F.col("place") % F.col("blocks"))
-    start = F.floor(F.col("place") / F.col("blocks")) * F.col("source_size") + edge(F.col("block"))
-    width = edge(F.col("block") + 1) - edge(F.col("block"))
+    goals = sources.select("number", "source_size", "blocks", "goal", "need")
+    slots = _schedule(spark, goals).join(goals, "number").where("place < need").withColumn("block", F.col("place") % F.col("blocks"))
+    start = F.floor(F.col("place") / F.col("blocks")) * F.col("source_size") + _edge(F.col("block"))
+    width = _edge(F.col("block") + 1) - _edge(F.col("block"))
     used = slots.withColumn("words", F.least(width, F.col("goal") - start)).where("words > 0")
     takes = used.groupBy("number", "block").agg(
         F.count_if(F.col("words") == width).alias("whole"), F.coalesce(F.max(F.when(F.col("words") < width, F.col("words"))), F.lit(0)).alias("cut"))
