@@ -51,15 +51,19 @@ def with_spans(docs: DataFrame, patterns: list[Pattern], text: str) -> DataFrame
     """``docs`` with a column ``__span_<kind>`` per kind, an array of (start, end, value, before, after); text is read as empty where null."""
     content = F.coalesce(F.col(text), F.lit(""))
     found = docs.withColumns({f"__{p.kind}": F.regexp_extract_all(content, F.lit(p.regex), F.lit(0)) for p in patterns})
+    # Columns of their own: inside a lambda the text would be split again for every match.
+    found = found.withColumns({
+        f"__gaps_{p.kind}": F.when(F.size(f"__{p.kind}") > 0, F.split(content, p.regex, -1)) for p in patterns
+    })
     none = F.array().cast(f"array<{_SPAN}>")
 
     def placed(pattern: Pattern) -> Column:
         values = F.col(f"__{pattern.kind}")
-        spans = F.filter(_placed(values, F.split(content, pattern.regex, -1)), lambda span: pattern.valid(span["value"]))
+        spans = F.filter(_placed(values, F.col(f"__gaps_{pattern.kind}")), lambda span: pattern.valid(span["value"]))
         return F.when(F.size(values) > 0, spans).otherwise(none)
 
     out = found.withColumns({f"__span_{p.kind}": placed(p) for p in patterns})
-    return out.drop(*[f"__{p.kind}" for p in patterns])
+    return out.drop(*[f"__{p.kind}" for p in patterns], *[f"__gaps_{p.kind}" for p in patterns])
 
 
 def span_text(spans: Column) -> Column:
