@@ -130,7 +130,6 @@ class _Tree:
         for at in range(len(self._open) - 1, 0, -1):
             tag = self.tag[self._open[at]]
             if tag in names:
-                self.flush()
                 return self._pop_to(at)
             if tag in scope:
                 return None

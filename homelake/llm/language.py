@@ -60,7 +60,7 @@ def ngram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
                 used = np.flatnonzero(sum_)
                 parts.append(pd.DataFrame({"lang": name, "bucket": used.astype(np.int32) - 1, "n": sum_[used]}))
             sums.clear()
-            return pd.concat(parts) if parts else pd.DataFrame({"lang": [], "bucket": [], "n": []})
+            return pd.concat(parts, ignore_index=True)
 
         for batch in batches:
             for content, name in zip(batch[text], batch[lang]):
@@ -70,7 +70,8 @@ def ngram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
                     own[1:] += np.bincount(found, minlength=BUCKETS)
                 if len(sums) > LANGUAGE_BLOCK:
                     yield rows()
-        yield rows()
+        if sums:
+            yield rows()
 
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text), F.col(lang))
     return known.mapInPandas(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -102,7 +103,7 @@ def predict_language(docs: DataFrame, counts: DataFrame, text: str = "text") ->
     posterior = F.exp(F.col("__high") - F.col("__all"))
     return out.withColumns({
         "lang_pred": F.coalesce(F.col("__best"), F.lit("und")),
-        "score": F.coalesce(F.least(posterior, F.lit(1.0)), F.lit(0.0)),
+        "score": F.when(F.col("__best").isNotNull(), F.least(posterior, F.lit(1.0))).otherwise(0.0),
     }).drop("__best", "__high", "__all")
 
 

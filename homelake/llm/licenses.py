@@ -65,7 +65,11 @@ LICENSES = {
 
 # Lines are looked up if they hold one of these word beginnings; every known notice does.
 HINT = r"(?i)licen[cs]|permission|copyright"
-_COPYRIGHT_LINE = r"(?:^|\n)[\s*#/;%-]*(?:[cC][oO][pP][yY][rR][iI][gG][hH][tT]|\([cC]\)|©|[aA]ll [rR]ights [rR]eserved)[^\n]*"
+# A line that begins with a mark, a year or a holder; a licence's own words on copyright stay.
+_COPYRIGHT_LINE = (
+    r"(?:^|\n)[\s*#/;%-]*"
+    r"(?:[cC][oO][pP][yY][rR][iI][gG][hH][tT][ \t]*(?:\([cC]\)|©|[0-9]{4}|[bB][yY] )|\([cC]\)|©|[aA]ll [rR]ights [rR]eserved)[^\n]*"
+)
 
 
 def canonical(text: Column) -> Column:
