@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from homelake.checks.common import Check, table
 from homelake.plans import ingest
 from homelake.session import shared_folder
-from homelake.sources import append_run, history_ids, read_entity, run_glob, with_run_id
+from homelake.sources import append_run, history_ids, read_entity, run_glob, seen_ids, with_run_id
 from homelake.sources.readers import RUN_ID
 from homelake.streaming import new_records_query, read_new_records
 
@@ -28,7 +28,7 @@ def _text(template: str, **columns: str) -> Column:
 # ---- keys, hold NaN, hide a script in a comment or have broken JSON ---------------------------------------------
 
 
-def new_properties(spark: SparkSession, sf: str) -> DataFrame:
+def _listing_pages(spark: SparkSession, sf: str) -> DataFrame:
     body = (
         '<script id="__NEXT_DATA__">{"props": {"pageProps": {"fallback": {"list": {"data": [<item>]},'
         ' "more": {"data": {"items": [{"id": "h4000", "images": 1}, {"page": 0}]}}<rest>}}}}</script>'
@@ -42,9 +42,15 @@ def new_properties(spark: SparkSession, sf: str) -> DataFrame:
     rest = F.when(kind == 2, ', "more": {"data": []}, "more": 1').when(kind == 3, ', "x": NaN').when(kind == 4, ', "x": [').otherwise("")
     hidden = F.when(kind == 5, '<!-- <script id="__NEXT_DATA__">{"props": {}}</script> -->').otherwise("")
     shown = pages.withColumns({"item": item, "rest": rest})
-    filled = shown.select("page", F.concat("html", hidden, _text(body, item="item", rest="rest")).alias("html"))
-    history = table(spark, sf, "nation").select(F.concat(F.lit("h"), F.col("n_nationkey") + 4000).alias("id"))
-    return ingest.new_properties(filled, history)
+    return shown.select("page", F.concat("html", hidden, _text(body, item="item", rest="rest")).alias("html"))
+
+
+def _seen_listings(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "nation").select(F.concat(F.lit("h"), F.col("n_nationkey") + 4000).alias("id"))
+
+
+def new_properties(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.new_properties(_listing_pages(spark, sf), _seen_listings(spark, sf))
 
 
 NEW_PROPERTIES = """
@@ -161,23 +167,43 @@ def run_files(spark: SparkSession, sf: str) -> DataFrame:
     folder = _folder(spark)
     for run_id, records in _runs(spark, sf):
         append_run(records, folder, "events", run_id)
+    # A run with broken lines and a record without id.
+    bad = table(spark, sf, "region").select(F.explode(F.array(
+        F.lit('{"id": "cut off'), F.lit("no JSON"), F.lit('{"event_id": 0}'), _text('{"id": "r<r>", "event_id": 1}', r="r_regionkey"))).alias("record"))
+    append_run(bad, folder, "events", "20240103_000000")
     glob = run_glob(folder, "events")
-    rows = with_run_id(read_entity(spark, glob, _EVENT), "events").withColumnRenamed(RUN_ID, "run_id")
+    rows = with_run_id(read_entity(spark, glob, _EVENT, mode="DROPMALFORMED"), "events").withColumnRenamed(RUN_ID, "run_id")
     keys = history_ids(spark, glob, "id").agg(F.count("id").alias("known"))
+    noted = seen_ids(spark, folder, "events", "id").agg(F.count("id").alias("noted"))
     summary = rows.groupBy("run_id").agg(
         F.count("id").alias("rows"), F.count_distinct("id").alias("ids"), F.sum("event_id").alias("total")
     )
-    return summary.withColumn("known", keys.scalar())
+    return summary.withColumns({"known": keys.scalar(), "noted": noted.scalar()})
 
 
 RUN_FILES = """
 WITH e AS (SELECT *, user_id || '/' || CAST(floor(value) AS BIGINT) AS id FROM events)
 SELECT CASE WHEN event_type = 'purchase' THEN '20240101_000000' ELSE '20240102_000000' END AS run_id, count(id) AS rows,
-       count(DISTINCT id) AS ids, CAST(sum(event_id) AS BIGINT) AS total, (SELECT count(DISTINCT id) FROM e) AS known
+       count(DISTINCT id) AS ids, CAST(sum(event_id) AS BIGINT) AS total, (SELECT count(DISTINCT id) FROM e) + (SELECT count(*) FROM region) AS known,
+       (SELECT count(DISTINCT id) FROM e) + (SELECT count(*) FROM region) AS noted
 FROM e GROUP BY ALL
+UNION ALL
+SELECT '20240103_000000', count(*), count(*), CAST(count(*) AS BIGINT), (SELECT count(DISTINCT id) FROM e) + count(*),
+       (SELECT count(DISTINCT id) FROM e) + count(*) FROM region
 """
 
 
+def run_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Records a whole run writes per entity, after an earlier run has left listings."""
+    folder, given = _folder(spark), _responses(spark, sf)
+    append_run(_seen_listings(spark, sf), folder, "properties", "20240101_000000")
+    written = ingest.ingest(
+        spark, folder, "20240102_000000", _listing_pages(spark, sf), given["quick_filter"], given["details"], given["history"], given["charts"])
+    return spark.createDataFrame(list(written.items()), "entity string, records long")
+
+
+
+
 def stream_new_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The streaming job after each of two runs."""
     folder = _folder(spark)
@@ -195,7 +221,16 @@ WITH e AS (SELECT *, user_id || '/' || CAST(floor(value) AS BIGINT) AS id, event
 SELECT id, arg_min(event_id, (late, event_id)) AS event_id, arg_min(value, (late, event_id)) AS value FROM e GROUP BY id
 """
 
+RUN_COUNTS = f"""
+SELECT 'properties' AS entity, count(*) AS records FROM ({NEW_PROPERTIES}) AS p
+UNION ALL SELECT 'rejected_pages', count(*) FROM pages WHERE (page_id + 1) % 6 = 4
+UNION ALL SELECT 'projects', count(*) FROM ({PROJECTS}) AS p
+UNION ALL SELECT 'subdivisions', count(*) FROM ({SUBDIVISIONS}) AS p
+UNION ALL SELECT 'project_prices', count(*) FROM ({PROJECT_PRICES.replace("s_nationkey <> 20 AND ", "")}) AS p
+"""
+
 CHECKS = {
+    "q_run_counts": Check(run_counts, RUN_COUNTS),
     "bronze_properties": Check(new_properties, NEW_PROPERTIES),
     "bronze_projects": Check(projects, PROJECTS),
     "bronze_subdivisions": Check(subdivisions, SUBDIVISIONS),

@@ -7,6 +7,7 @@ histories, suppliers become subdivisions.  The SQL derives the same silver table
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from pyspark.sql import types as T
 from homelake import schemas
 from homelake.checks.common import Check, steadied, table
 from homelake.plans import features, gold, silver
-from homelake.session import cut_lineage
+from homelake.session import cut_lineage, shared_folder
+from homelake.sources import read_tables, write_table
 from homelake.sources.readers import RUN_ID
 
 # ---- expressions both dialects read the same way -------------------------------------------------------------
@@ -416,7 +418,19 @@ def feature_report(spark: SparkSession, sf: str) -> DataFrame:
     return features.feature_report(_features(spark, sf))
 
 
+def stored_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold from a Silver layer that was written and is read back."""
+    folder = f"{shared_folder(spark)}/silver-{uuid4().hex}"
+    build, sources = gold.TABLES["price_by_ward"]
+    for name in sources:
+        write_table(silver_table(spark, sf, name), folder, name)
+    result = build(*read_tables(spark, folder, list(sources)).values())
+    digits, *columns = _ROUNDED.get("price_by_ward", (4,))
+    return steadied(result, *columns, digits=digits) if columns else result
+
+
 CHECKS = {
+    "q_stored_layers": Check(stored_layers, SILVER + GOLD["price_by_ward"]),
     **{f"silver_{name}": Check(_silver_check(name), f"{SILVER} SELECT * FROM {name}") for name in silver.TABLES},
     **{f"gold_{name}": Check(_gold_check(name), SILVER + sql) for name, sql in GOLD.items()},
     "gold_features": Check(feature_table, FEATURE_TABLE),

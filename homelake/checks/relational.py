@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from homelake import operators as op
 from homelake.checks.common import Check, steadied, table
 from homelake.plans import features, gold
+from homelake.sources import read_table
 
 # ---- summaries -----------------------------------------------------------------------------------------------
 
@@ -195,6 +196,12 @@ def sum_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return steadied(result, "total_fare", digits=2)
 
 
+def catalog_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over a table that the catalog names."""
+    table(spark, sf, "lineitem").createOrReplaceTempView("listed_lineitem")
+    return steadied(gold.sum_by_key(read_table(spark, "listed_lineitem"), "l_suppkey", "l_extendedprice", "total_fare"), "total_fare", digits=2)
+
+
 SUM_BY_KEY = """
 SELECT l_suppkey, round(sum(l_extendedprice) + 1e-7, 2) AS total_fare FROM lineitem GROUP BY l_suppkey
 """
@@ -443,6 +450,7 @@ CHECKS = {
     "q_geo_heatmap": Check(geo_heatmap, GEO_HEATMAP),
     "q_top_areas": Check(top_areas, TOP_AREAS),
     "q_sum_by_key": Check(sum_by_key, SUM_BY_KEY),
+    "q_catalog_sum": Check(catalog_sum, SUM_BY_KEY),
     "q_keyword_score": Check(keyword_score, KEYWORD_SCORE),
     "q_pivot_prices": Check(pivot_prices, PIVOT_PRICES),
     "q_wide_feature_join": Check(wide_feature_join, WIDE_FEATURE_JOIN),

@@ -16,7 +16,7 @@ from homelake.operators import (
     with_fallback,
 )
 from homelake.session import cut_lineage
-from homelake.sources import append_run, extract_embedded_json, history_ids, run_glob, unreadable_pages
+from homelake.sources import add_seen, append_run, extract_embedded_json, seen_ids, unreadable_pages
 
 # The kind of project that is left out, and where records sit in the responses.
 EXCLUDED_PROJECT_WORD = "thổ cư"
@@ -121,9 +121,10 @@ def ingest(
     price_charts: DataFrame,
 ) -> dict[str, int]:
     """One run over tables of fetched responses; returns the number of records written per entity."""
-    seen = history_ids(spark, run_glob(bronze_dir, "properties"), "id")
-    fresh = new_properties(pages, seen)
+    seen = seen_ids(spark, bronze_dir, "properties", "id")
+    fresh = new_properties(pages, seen, long_history=True)
     written = {"properties": append_run(fresh.select("record"), bronze_dir, "properties", run_id)}
+    add_seen(fresh, bronze_dir, "properties", "id", run_id)
     rejected = rejected_pages(pages).select(F.to_json(F.struct("page", "script")).alias("record"))
     written["rejected_pages"] = append_run(rejected, bronze_dir, "rejected_pages", run_id)
 
@@ -135,8 +136,9 @@ def ingest(
     written["projects"] = append_run(projects.select("record"), bronze_dir, "projects", run_id)
     written["subdivisions"] = append_run(subdivisions.select("record"), bronze_dir, "subdivisions", run_id)
 
-    priced = history_ids(spark, run_glob(bronze_dir, "project_prices"), "project_id")
-    targets = price_targets(projects, subdivisions, priced)
+    priced = seen_ids(spark, bronze_dir, "project_prices", "project_id")
+    targets = cut_lineage(price_targets(projects, subdivisions, priced))
     records = price_records(targets, price_history, price_charts)
     written["project_prices"] = append_run(records, bronze_dir, "project_prices", run_id)
+    add_seen(targets, bronze_dir, "project_prices", "project_id", run_id)
     return written

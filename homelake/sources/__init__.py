@@ -10,9 +10,10 @@ from homelake.sources.readers import (
     run_glob,
     with_run_id,
 )
+from homelake.sources.seen import add_seen, seen_ids
 from homelake.sources.writers import append_run, spread_order, write_table
 
 __all__ = [
-    "append_run", "drop_keys", "extract_embedded_json", "history_ids", "load_fixture", "read_entity",
-    "read_table", "read_tables", "run_glob", "spread_order", "with_run_id", "write_table",
+    "add_seen", "append_run", "drop_keys", "extract_embedded_json", "history_ids", "load_fixture", "read_entity",
+    "read_table", "read_tables", "run_glob", "seen_ids", "spread_order", "unreadable_pages", "with_run_id", "write_table",
 ]
