@@ -99,28 +99,32 @@ def _buckets(ids: np.ndarray, rows: np.ndarray) -> list[_Bucket]:
     ]
 
 
-def _search(queries: list[tuple[int, np.ndarray, float]], ids: np.ndarray, rows: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
-    """(query_id, vec_id, score) of each query's best k among these vectors that reach its bound."""
-    by_size: dict[int, list[_Bucket]] = {rows.shape[1]: _buckets(ids, rows)}
+Best = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _search(queries: list[tuple[int, np.ndarray, float]], ids: np.ndarray, rows: np.ndarray, k: int, best: Best) -> None:
+    """Put these vectors into ``best``: each query's k highest scores so far (from its bound on) and their ids."""
+    buckets = _buckets(ids, rows)
+    nothing = np.array([], dtype=np.int64)
     for query_id, vector, bound in queries:
-        vector = vector.astype(np.int64)
+        if len(vector) != rows.shape[1]:
+            continue
         length = float(np.sqrt((vector.astype(np.float64) ** 2).sum()))
         unit = vector / length if length else vector.astype(np.float64)
-        scores, own = np.array([], dtype=np.int64), np.array([], dtype=np.int64)
-        for bucket in by_size.get(len(vector), ()):
+        scores, own = best.get(query_id, (nothing, nothing))
+        for bucket in buckets:
+            if len(scores) >= k:
+                bound = max(bound, float(scores[-1]))
             places = bucket.survivors(unit, length, bound)
             places = places[bucket.ids[places] != query_id]
-            if not len(places):
-                continue
             products = bucket.rows[places] @ vector
             good = products >= bound
-            scores, own = np.concatenate([scores, products[good]]), np.concatenate([own, bucket.ids[places][good]])
-            if len(scores) > k:
-                best = _best(scores, own, k)
-                scores, own = scores[best], own[best]
-                bound = max(bound, float(scores[-1]))
-        for place in _best(scores, own, k):
-            yield query_id, int(own[place]), int(scores[place])
+            if good.any():
+                scores, own = np.concatenate([scores, products[good]]), np.concatenate([own, bucket.ids[places][good]])
+                kept = _best(scores, own, k)
+                scores, own = scores[kept], own[kept]
+        if len(scores):
+            best[query_id] = scores, own
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -131,7 +135,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     blocks = max(1, ceil(n_queries / QUERY_BLOCK))
     queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
     share = min(1.0, SEED_ROWS / max(1, n_vectors))
-    seeds = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit("seed")), F.lit(1_000_000)) < ceil(share * 1_000_000)).toPandas()
+    seeds = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit("seed")), F.lit(1_000_000)) < ceil(share * 1_000_000)).dropDuplicates(["vec_id"]).toPandas()
     schema = "query_id long, vec_id long, score long"
     results = []
     for block in range(blocks):
@@ -142,10 +146,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         shared = spark.sparkContext.broadcast(started)
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            best: Best = {}  # at most k rows per query of the block, whatever the number of vectors
             for batch in batches:
                 for _, part in batch.groupby(batch["v"].map(len)):
-                    rows = list(_search(shared.value, part["vec_id"].to_numpy(), _matrix(part["v"]), k))
-                    yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
+                    _search(shared.value, part["vec_id"].to_numpy(), _matrix(part["v"]), k, best)
+            if best:
+                scores, ids = (np.concatenate(column) for column in zip(*best.values()))
+                yield pd.DataFrame({"query_id": np.repeat(list(best), [len(own) for own, _ in best.values()]), "vec_id": ids, "score": scores})
 
         results.append(vectors.mapInPandas(search, schema))
     every = results[0]
@@ -157,11 +164,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
 def _seeded(queries: list[tuple[int, np.ndarray, float]], sampled: dict[int, pd.DataFrame], k: int) -> list[tuple[int, np.ndarray, float]]:
     """Queries with their k-th best product over the sample as a first bound."""
-    found: dict[int, list[int]] = {}
+    best: Best = {}
     for part in sampled.values():
-        for query_id, _, score in _search(queries, part["vec_id"].to_numpy(), _matrix(part["v"]), k):
-            found.setdefault(query_id, []).append(score)
-    return [(i, v, float(min(found[i])) if len(found.get(i, ())) >= k else -np.inf) for i, v, _ in queries]
+        _search(queries, part["vec_id"].to_numpy(), _matrix(part["v"]), k, best)
+    return [(i, v, float(best[i][0][-1]) if i in best and len(best[i][0]) >= k else -np.inf) for i, v, _ in queries]
 
 
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
