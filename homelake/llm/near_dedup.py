@@ -220,12 +220,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 85) -> D
     shared = values.join(common, "value")
     own = Window.partitionBy("set_key")
     ranked = cut_lineage(
-        shared.withColumn("rank", F.row_number().over(own.orderBy("classes", "value")))
-        .withColumns({"others": F.count("*").over(own), "central": F.sum("classes").over(own)})
+        shared.withColumns({
+            "rank": F.row_number().over(own.orderBy("classes", "value")),
+            "earlier": F.collect_list("value").over(own.orderBy("classes", "value").rowsBetween(Window.unboundedPreceding, -1)),
+            "others": F.count("*").over(own), "central": F.sum("classes").over(own),
+        })
     )
     sizes = classes.select("set_key", "n_shingles")
     prefix = _prefix(F.col("n_shingles"), percent) - (F.least("n_shingles", F.lit(SKETCH)) - F.col("others"))
-    entries = ranked.join(sizes, "set_key").where(F.col("rank") <= prefix).select("value", "set_key", "central")
+    entries = ranked.join(sizes, "set_key").where(F.col("rank") <= prefix).select("value", "set_key", "central", "earlier")
     hubs = entries.groupBy("value").agg(F.max(F.struct("central", "set_key")).alias("hub"), F.count("*").alias("length")).where("length > 1")
     hubs = cut_lineage(hubs.select("value", F.col("hub.set_key").alias("hub"), "length"))
     entries = cut_lineage(entries.join(hubs, "value"))
@@ -235,7 +238,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 85) -> D
     links = _confirmed(to_hub, classes, docs, text, percent)
     roots = components(links)
 
-    # Second round: members of one list that are still apart.
+    # Second round: members of one list that are still apart.  The order of a class's values is the same in all classes, so a pair
+    # that shares an earlier value has met there already.
     attributes = classes.select("set_key", "n_shingles", "level", *_ODD, *_NEXT)
     placed = (
         entries.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
@@ -248,7 +252,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 85) -> D
     right = apart.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
     meeting = (F.col("a.value") == F.col("b.value")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.set_key") < F.col("b.set_key"))
     pairs = (
-        left.alias("a").join(right.alias("b"), meeting & (F.col("a.root") != F.col("b.root")) & _may_link(percent))
+        left.alias("a").join(right.alias("b"), meeting & (F.col("a.root") != F.col("b.root")) & _may_link(percent)
+                             & ~F.arrays_overlap("a.earlier", "b.earlier"))
         .select(F.col("a.set_key").alias("a_key"), F.col("b.set_key").alias("b_key")).distinct()
     )
     roots = components(links.union(_confirmed(pairs, classes, docs, text, percent)))
@@ -267,3 +272,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 85) -> D
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x{09}-\x{0D}\x{20}]+'), lambda w: w <> '') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT rid, array_to_string(words[s:s + 4], ' ') AS shingle
+  FROM docs, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS u(s) WHERE len(words) > 0),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+shared AS (SELECT a.rid AS x, b.rid AS y, count(*) AS common FROM shingles AS a JOIN shingles AS b USING (shingle) WHERE a.rid <> b.rid GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes AS a ON a.rid = x JOIN sizes AS b ON b.rid = y WHERE 100 * common >= 85 * (a.n + b.n - common)),
+reached(rid, other) AS (SELECT rid, rid FROM docs UNION SELECT r.rid, l.y FROM reached AS r JOIN links AS l ON r.other = l.x),
+lowest AS (SELECT r.rid, min(doc_id) AS component_id FROM reached AS r JOIN docs AS o ON o.rid = r.other GROUP BY r.rid)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs JOIN lowest USING (rid) LEFT JOIN sizes USING (rid)
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from homelake.llm import decontamination, licenses, top_k
+from homelake.llm import decontamination, licenses, near_dedup, top_k
 from homelake.llm.decontamination import op1_decontamination
 from homelake.llm.html_text import op2_html_text
 from homelake.llm.language import op4_language
@@ -31,4 +31,5 @@ ORACLE_SQL = {
     "op1_decontamination": decontamination.ORACLE,
     "op3_top_k": top_k.ORACLE,
     "op6_licenses": licenses.oracle(),
+    "op9_near_dedup": near_dedup.ORACLE,
 }
