@@ -3,8 +3,9 @@
 1. Every text becomes the set of its hashed word shingles; equal sets form a class (copies never meet pairwise).  A class keeps its
    ``SKETCH`` smallest hashes and an odd sketch (parities of 512 hash slots), nothing else.
 2. Inverted lists of the retained values.  Two sets of similarity 0.85 share at least ``SHARED`` of 32 retained values (all but about one pair
-   in 10^9; sets of up to 32 shingles: always as many as the threshold asks for).  So each class needs only its rarest
-   ``SKETCH - SHARED + 1`` values, counted over the corpus, to meet every partner: values of common passages drop out first.
+   in 10^9).  So each class needs only its rarest ``SKETCH - SHARED + 1`` values, counted over the corpus, to meet every partner: values
+   of common passages drop out first.  A set of up to 32 shingles retains all of them and needs fewer: always enough to meet a partner
+   that is whole as well, or one that is cut to its sketch.
 3. Each list first meets its most central member only.  What that links is one component, so in the second round only members of
    different components of a list meet, cut into blocks where the list is long.
 4. Pairs are filtered by size, by odd sketch and by the union-sketch estimate, then confirmed on full sets.  Components come from contracting
@@ -101,7 +102,9 @@ def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _prefix(size: Column, percent: int) -> Column:
     """How many of a class's rarest retained values it must show to meet every partner."""
-    whole = size - F.ceil(size * percent / 100) + 1
+    # A partner of more than SKETCH shingles shows only that many: the largest one that may link lacks the others.
+    cut_off = F.floor(size * 100 / percent) - SKETCH
+    whole = size - F.least(F.ceil(size * percent / 100), size - cut_off) + 1
     return F.when(size <= SKETCH, whole).otherwise(F.lit(SKETCH - SHARED + 1)).cast("int")
 
 

@@ -62,3 +62,14 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(200, 201), (201, 200)]
     found = {row["node"]: row["root"] for row in components(spark.createDataFrame(links, "a_key int, b_key int")).collect()}
     assert found == {**{i: 0 for i in range(31)}, **{100 + i: 100 for i in range(20)}, 200: 200, 201: 200}
+
+
+def test_a_whole_set_meets_a_partner_that_is_cut_to_the_sketch(spark):
+    for size, longer, percent in ((32, 37, 85), (32, 39, 80), (32, 40, 80)):
+        rows = []
+        for seed in range(60):
+            text = words(f"{size} {longer} {seed}", longer + 4)
+            rows += [(2 * seed, " ".join(text[: size + 4])), (2 * seed + 1, " ".join(text))]
+        found = {row["doc_id"]: row for row in near_duplicates(documents(spark, rows).select("doc_id", "text"), percent=percent).collect()}
+        assert {found[i]["n_shingles"] for i in found} == {size, longer}
+        assert [i for i in range(60) if found[2 * i + 1]["component_id"] != 2 * i] == []
