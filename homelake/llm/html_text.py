@@ -2,7 +2,8 @@
 
 Every paragraph passes points for its length and commas to its ancestors, halved with each level; a container's points are discounted by
 its share of link text.  The best container is kept together with siblings that score well, and the text blocks of what is kept are
-returned in page order.  Menus, adverts, notices, forms, comments and the like take no part.
+returned in page order.  Menus, adverts, notices, forms, comments and the like take no part.  Classes and ids that name such parts do not
+count on a wrapper of the article, on an element that is named content as well, nor where the page would end empty.
 
 Pages are rows of a DataFrame and parsed where they lie; nothing is shuffled.  Defined results: a null or empty page, or one without
 text, gives an empty string; text outside any element counts as a block of its own; unclosed or cut-off markup ends with the page.
@@ -35,6 +36,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEAVES = frozenset("p pre blockquote li td th dd dt figcaption h1 h2 h3 h4 h5 h6".split())
 SEMANTIC = frozenset(("article", "main"))
 NEVER_DROPPED = frozenset(("html", "body", "article", "main"))
+# Ids of these are link targets made from a heading's words, not names of page parts.
+ANCHORED = HEADINGS | frozenset("p section dt dd".split())
+# An element of such a name, from its first to its last word part, is the article's.
+CONTENT = frozenset("content article post entry".split())
 ENDS_PARAGRAPH = BLOCKS - frozenset("body html tbody td tfoot th thead tr legend option optgroup".split())
 CLOSED_BY = {
     "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "option": frozenset(("option",)),
@@ -68,8 +73,8 @@ _COMMA = re.compile("[,،、，]")
 SIBLING_SHARE = 0.2
 
 
-def _is_noise(tag: str, attributes: str) -> bool:
-    """Whether an element's class, id, role or visibility marks it as no part of the article."""
+def _is_hidden(tag: str, attributes: str) -> bool:
+    """Whether an element's role or visibility marks it as no part of the article."""
     if not attributes.strip() or tag in NEVER_DROPPED:
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
@@ -80,45 +85,99 @@ def _is_noise(tag: str, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id"):
-            for word in value.split():
-                parts = [part.lower() for part in _NAME_PART.findall(word)]
-                if parts and parts[0] not in ("has", "with", "no", "without", "is") and not NOT_ARTICLE.isdisjoint(parts):
-                    return True
-                if "header" in parts and NOT_TITLE.isdisjoint(parts):
-                    return True
     return False
 
 
+def _is_named_noise(tag: str, attributes: str) -> bool:
+    """Whether an element's class or id names something else than the article; a name of content anywhere in them prevails."""
+    if not attributes.strip() or tag in NEVER_DROPPED:
+        return False
+    noise = False
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), html.unescape(value.strip("\"'"))
+        if name != "class" and (name != "id" or tag in ANCHORED):
+            continue
+        for word in value.split():
+            parts = [part.lower() for part in _NAME_PART.findall(word)]
+            if not parts:
+                continue
+            if parts[0] in CONTENT and parts[-1] in CONTENT:
+                return False
+            if parts[0] not in ("has", "with", "no", "without", "is") and not NOT_ARTICLE.isdisjoint(parts):
+                noise = True
+            if "header" in parts and NOT_TITLE.isdisjoint(parts):
+                noise = True
+    return noise
+
+
 NOT_TITLE = frozenset("article entry post story content section title".split())
 
 
 class _Tree:
-    """Elements of a page as parallel lists, and its text blocks as (element, text, length of link text)."""
+    """Elements of a page as parallel lists, and its text as (block element, pieces); a piece is (element, text, whether in a link).
+
+    ``noise`` is passed on to all below an element, ``named`` is the element's own: what its name drops is decided on the whole page.
+    """
 
     def __init__(self) -> None:
-        self.tag, self.parent, self.noise = ["#root"], [0], [False]
-        self.blocks: list[tuple[int, str, int]] = []
+        self.tag, self.parent, self.noise, self.named = ["#root"], [0], [False], [False]
+        self._pieces: list[tuple[int, list[tuple[int, str, bool]]]] = []
         self._open = [0]
-        self._text: list[str] = []
-        self._links = self._in_link = 0
+        self._text: list[tuple[int, str, bool]] = []
+        self._in_link = 0
 
     def flush(self) -> None:
         if self._text:
-            text = " ".join("".join(self._text).split())
+            self._pieces.append((self._block(), self._text))
+        self._text = []
+
+    def blocks(self) -> list[tuple[int, str, int]]:
+        """(element, text, length of link text) of the blocks; names drop nothing where nothing would be left."""
+        dropped = self._dropped_by_name()
+        return self._joined(dropped) or (self._joined([False] * len(dropped)) if True in dropped else [])
+
+    def _joined(self, dropped: list[bool]) -> list[tuple[int, str, int]]:
+        found = []
+        for block, pieces in self._pieces:
+            own = [piece for piece in pieces if not dropped[piece[0]]]
+            text = " ".join("".join(content for _, content, _ in own).split())
             if text:
-                self.blocks.append((self._block(), text, min(self._links, len(text))))
-        self._text, self._links = [], 0
+                found.append((block, text, min(sum(len(content.strip()) for _, content, linked in own if linked), len(text))))
+        return found
+
+    def _dropped_by_name(self) -> list[bool]:
+        """Named elements and all below them, but for wrappers: those that hold more of an article or main than there is outside of them."""
+        count = len(self.tag)
+        if True not in self.named:
+            return [False] * count
+        size, last = [0] * count, list(range(count))
+        for _, pieces in self._pieces:
+            for at, content, linked in pieces:
+                size[at] += 0 if linked else len(content.strip())
+        for at in range(count - 1, 0, -1):  # parents come before what they hold
+            size[self.parent[at]] += size[at]
+            last[self.parent[at]] = max(last[self.parent[at]], last[at])
+        articles = sorted((at for at in range(count) if self.tag[at] in SEMANTIC and not self.noise[at]), key=lambda at: -size[at])
+        dropped = [False] * count
+        for at in range(1, count):
+            dropped[at] = dropped[self.parent[at]] or (self.named[at] and not self._wraps_article(at, last[at], size, last, articles))
+        return dropped
+
+    @staticmethod
+    def _wraps_article(at: int, end: int, size: list[int], last: list[int], articles: list[int]) -> bool:
+        inside = next((size[x] for x in articles if at < x <= end), None)
+        if inside is None:
+            return False
+        around = [size[x] - size[at] for x in articles if x < at and end <= last[x]]
+        beside = next((size[x] for x in articles if x > end or last[x] < at), -1)
+        return inside > max([beside, *around])
 
     def _block(self) -> int:
         return next((at for at in reversed(self._open) if self.tag[at] in BLOCKS), 0)
 
     def text(self, raw: str) -> None:
         if raw and not self.noise[self._open[-1]]:
-            content = html.unescape(raw) if "&" in raw else raw
-            self._text.append(content)
-            if self._in_link:
-                self._links += len(content.strip())
+            self._text.append((self._open[-1], html.unescape(raw) if "&" in raw else raw, self._in_link > 0))
 
     def _pop_to(self, at: int) -> None:
         for gone in self._open[at:]:
@@ -149,12 +208,13 @@ class _Tree:
         if tag in VOID:
             return None
         up = self._open[-1]
-        noise = self.noise[up] or tag in DROPPED or _is_noise(tag, attributes)
+        noise = self.noise[up] or tag in DROPPED or _is_hidden(tag, attributes)
         if tag == "header" and not noise:
             noise = not any(self.tag[at] in SEMANTIC for at in self._open)
         self.tag.append(tag)
         self.parent.append(up)
         self.noise.append(noise)
+        self.named.append(not noise and _is_named_noise(tag, attributes))
         self._open.append(len(self.tag) - 1)
         self._in_link += tag == "a"
         return None
@@ -193,9 +253,9 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     tree = _parse(page)
-    count = len(tree.tag)
+    blocks, count = tree.blocks(), len(tree.tag)
     points, size, links = [0.0] * count, [0] * count, [0] * count
-    for node, text, linked in tree.blocks:
+    for node, text, linked in blocks:
         worth = 0.0 if tree.tag[node] in HEADINGS else 1 + len(_COMMA.findall(text)) + min(len(text) / 100, 3.0)
         share, at, first = 1.0, node, True
         while True:
@@ -207,7 +267,7 @@ def main_text(page: str | None) -> str:
             if not at:
                 break
             at, first = tree.parent[at], False
-    if not tree.blocks:
+    if not blocks:
         return ""
     worth = [points[at] * (1 - links[at] / size[at]) if size[at] else 0.0 for at in range(count)]
     best = max(range(count), key=lambda at: (worth[at], size[at], -at))
@@ -226,7 +286,7 @@ def main_text(page: str | None) -> str:
             if prose or worth[at] >= max(SIBLING_SHARE * worth[best], 1.0) or tree.tag[at] == "h1":
                 kept.add(at)
     lines = []
-    for node, text, _ in tree.blocks:
+    for node, text, _ in blocks:
         while node not in kept and node:
             node = tree.parent[node]
         if node in kept:

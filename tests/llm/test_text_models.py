@@ -28,6 +28,22 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+NAMED = [
+    ("<div class='content right-sidebar'><article><p>One, two.</p></article></div>", "One, two."),
+    ("<div id='right-sidebar-layout'><article><p>One, two.</p></article></div><div>(c)</div>", "One, two."),
+    ("<article><h2 id='related-work'>Related</h2><section id='search'><p id='notice-period'>One.</p></section>"
+     "<div class='post-social-content'>Two.</div></article>", "Related\nOne.\nTwo."),
+    ("<div class='sidebar'><p>One, two.</p></div>", "One, two."),
+    ("<main><p>One, two, three.</p><div id='comments'><article><p>Nice.</p></article></div></main>", "One, two, three."),
+    ("<article><p>One, two.</p><div class='post-comments'>Nice.</div></article><div class='related'><article>Other</article></div>", "One, two."),
+]
+
+
+@pytest.mark.parametrize("page, text", NAMED)
+def test_names_of_wrappers_and_anchors_drop_nothing(page, text):
+    assert main_text(page) == text
+
+
 def test_html_query_keeps_every_row(spark, tmp_path):
     rows = [(i, "u", page) for i, (page, _) in enumerate(PAGES)] + [(0, None, None), (50, "u", "<article>" + "<p>word, word</p>" * 20000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "1 AS __other")
