@@ -2,7 +2,8 @@
 
 Every paragraph passes points for its length and commas to its ancestors, halved with each level; a container's points are discounted by
 its share of link text.  The best container is kept together with siblings that score well, and the text blocks of what is kept are
-returned in page order.  Menus, adverts, notices, forms, comments and the like take no part.  Classes and ids that name such parts do not
+returned in page order.  On a page without article or main the best container may be one section of it, so whatever has few links
+stays beside it and beside the containers around it, whatever its length.  Menus, adverts, notices, forms, comments and the like take no part.  Classes and ids that name such parts do not
 count on a wrapper of the article, on an element that is named content as well, nor where the page would end empty.
 
 Pages are rows of a DataFrame and parsed where they lie; nothing is shuffled.  Defined results: a null or empty page, or one without
@@ -71,6 +72,8 @@ _NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _COMMA = re.compile("[,،、，]")
 # A sibling stays if it scores this share of the best container.
 SIBLING_SHARE = 0.2
+# Text with a smaller share of link text is prose.
+LINK_DENSITY = 0.25
 
 
 def _is_hidden(tag: str, attributes: str) -> bool:
@@ -275,21 +278,32 @@ def main_text(page: str | None) -> str:
     while whole and tree.tag[whole] not in SEMANTIC:
         whole = tree.parent[whole]
     best = whole or best
-    kept = {best}
+    kept, around = {best}, set()
+    if not whole:
+        at = best
+        while at:
+            at = tree.parent[at]
+            around.add(at)
     if best:
         for at in range(1, count):
-            if tree.parent[at] != tree.parent[best] or not size[at]:
+            up = tree.parent[at]
+            if not size[at] or at in around or up != tree.parent[best] and up not in around:
                 continue
             density = links[at] / size[at]
+            if up in around and density < LINK_DENSITY:
+                kept.add(at)
+            if up != tree.parent[best]:
+                continue
             leaf = tree.tag[at] in LEAVES and tree.tag[at] not in HEADINGS
-            prose = leaf and size[at] > 80 and density < 0.25
+            prose = leaf and size[at] > 80 and density < LINK_DENSITY
             if prose or worth[at] >= max(SIBLING_SHARE * worth[best], 1.0) or tree.tag[at] == "h1":
                 kept.add(at)
     lines = []
-    for node, text, _ in blocks:
+    for node, text, linked in blocks:
+        own = node in around and linked < LINK_DENSITY * len(text)
         while node not in kept and node:
             node = tree.parent[node]
-        if node in kept:
+        if own or node in kept:
             lines.append(text)
     return "\n".join(lines)
 

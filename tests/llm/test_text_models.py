@@ -44,6 +44,22 @@ def test_names_of_wrappers_and_anchors_drop_nothing(page, text):
     assert main_text(page) == text
 
 
+LONG = "Word word word, and so on. " * 11
+SECTIONS = [
+    ("<div id='content'><div>" + f"<p>{LONG}</p>" * 10 + "</div><div><h2>Next</h2><p>Short part of sixty characters.</p></div></div>",
+     "\n".join([LONG.strip()] * 10 + ["Next", "Short part of sixty characters."])),
+    (f"<body><div id='c'><h2>A</h2><div><p>{LONG}</p><p>{LONG}</p></div><p>Short.</p><ul><li>x</ul><table><tr><td>y</table></div>"
+     "<div><a href='/'>Home</a> <a href='/b'>More</a></div></body>", "\n".join(["A", LONG.strip(), LONG.strip(), "Short.", "x", "y"])),
+    (f"<div>Lead.<div><div><p>{LONG}</p><p>{LONG}</p></div><ul><li><a href='/'>Home page</a></ul></div><div><h3>B</h3><p>Last.</p></div></div>",
+     "\n".join(["Lead.", LONG.strip(), LONG.strip(), "B", "Last."])),
+]
+
+
+@pytest.mark.parametrize("page, text", SECTIONS)
+def test_sections_of_a_page_without_article_stay(page, text):
+    assert main_text(page) == text
+
+
 def test_html_query_keeps_every_row(spark, tmp_path):
     rows = [(i, "u", page) for i, (page, _) in enumerate(PAGES)] + [(0, None, None), (50, "u", "<article>" + "<p>word, word</p>" * 20000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "1 AS __other")
