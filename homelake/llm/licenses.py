@@ -63,7 +63,9 @@ LICENSES = {
 }
 
 
-# Lines are looked up if they hold one of these word beginnings; every known notice does.
+# Title lines that a licence file may begin with.
+TITLES = {"MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"], "ISC": ["ISC License", "The ISC License"]}
+# Every built-in notice and licence holds one of these word beginnings, so other lines need no look-up in the built-in list.
 HINT = r"(?i)licen[cs]|permission|copyright"
 # A line that begins with a mark, a year or a holder; a licence's own words on copyright stay.
 _COPYRIGHT_LINE = (
@@ -94,16 +96,26 @@ def known_texts() -> list[tuple[str, str]]:
     return rows + list(LICENSES.items())
 
 
-def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(digest, license) of known (license, text) pairs."""
-    known = spark.createDataFrame(known_texts() if texts is None else texts, "license string, text string")
-    return known.select(digest(F.col("text")).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
+    """(digest, license) of known (license, text) rows, each text with and without its title line; a DataFrame may hold any number."""
+    if texts is None:
+        texts = known_texts() + [(name, f"{title}\n\n{LICENSES[name]}") for name, titles in TITLES.items() for title in titles]
+    known = texts if isinstance(texts, DataFrame) else spark.createDataFrame(texts, "license string, text string")
+    title = r"(?i)^\s*[^\n]{0,80}licen[cs]e[^\n]{0,80}\n\s*\n"
+    untitled = F.when(F.col("text").rlike(title), F.regexp_replace("text", title, ""))
+    every = known.select("license", F.explode(F.array("text", untitled)).alias("text")).select("license", digest(F.col("text")).alias("digest"))
+    return every.where("digest is not null").groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan_licenses(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with digest and license of the whole text and notices (distinct licences of its lines, sorted)."""
+def scan_licenses(docs: DataFrame, known: DataFrame, text: str = "text", hint: str | None = None) -> DataFrame:
+    """``docs`` without the text, with digest and license of the whole text and notices (distinct licences of its lines, sorted).
+
+    ``hint`` is a pattern that every text behind ``known`` holds; lines without it are not looked up.
+    """
     kept = [name for name in docs.columns if name not in (text, "digest", "license", "notices")]
-    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda line: line.rlike(HINT))
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    if hint is not None:
+        lines = F.filter(lines, lambda line: line.rlike(hint))
     scanned = cut_lineage(docs.select(
         F.monotonically_increasing_id().alias("__row"), *kept, digest(F.col(text)).alias("digest"),
         F.transform(lines, digest).alias("__lines")))
@@ -116,7 +128,7 @@ def scan_licenses(docs: DataFrame, known: DataFrame, text: str = "text") -> Data
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), known_licenses(spark))
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), known_licenses(spark), hint=HINT)
     return found.select("doc_id", "digest", "license", F.array_join("notices", ",").alias("notices"))
 
 

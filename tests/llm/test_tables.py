@@ -98,6 +98,17 @@ def test_licenses_in_other_spellings(spark, tmp_path):
     assert scan_licenses(documents(spark, []), known_licenses(spark)).collect() == []
 
 
+def test_titles_and_a_table_of_known_texts(spark):
+    titled = [(i, f"{title}\n\nCopyright (c) 2020 A. B.\n\n{LICENSES[name]}") for i, (title, name) in enumerate(
+        [("MIT License", "MIT"), ("The MIT License (MIT)", "MIT"), ("ISC License", "ISC")])]
+    found = scan_licenses(documents(spark, titled), known_licenses(spark)).collect()
+    assert sorted((r["doc_id"], r["license"]) for r in found) == [(0, "MIT"), (1, "MIT"), (2, "ISC")]
+    table = spark.createDataFrame([("X", "The X License\n\nDo as you like."), ("Y", "Free for all uses.")], "license string, text string")
+    docs = documents(spark, [(0, "The X Licence\n\nDo as you like"), (1, "do as you like"), (2, "code\nFree for all uses.")])
+    found = scan_licenses(docs, known_licenses(spark, table)).collect()
+    assert sorted((r["doc_id"], r["license"], r["notices"]) for r in found) == [(0, "X", ["X"]), (1, "X", ["X"]), (2, None, ["Y"])]
+
+
 def shares(sizes):
     """Targets by the contract's rule: shares by weight, stopped at three times the size, the excess shared again."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
