@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from homelake.llm import decontamination, licenses, near_dedup, top_k
+from homelake.llm import decontamination, licenses, merkle, near_dedup, top_k
 from homelake.llm.decontamination import op1_decontamination
 from homelake.llm.html_text import op2_html_text
 from homelake.llm.language import op4_language
 from homelake.llm.licenses import op6_licenses
+from homelake.llm.merkle import op11_merkle
 from homelake.llm.mixing import op8_mixing
 from homelake.llm.near_dedup import op9_near_dedup
 from homelake.llm.pii import op7_pii
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_near_dedup": op9_near_dedup,
     "op10_secrets": op10_secrets,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLE_SQL = {
@@ -32,4 +34,5 @@ ORACLE_SQL = {
     "op3_top_k": top_k.ORACLE,
     "op6_licenses": licenses.oracle(),
     "op9_near_dedup": near_dedup.ORACLE,
+    "op11_merkle": merkle.ORACLE,
 }
