@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from homelake.llm import decontamination, licenses, merkle, near_dedup, top_k
+from homelake.llm import decontamination, lexical, licenses, merkle, near_dedup, top_k
 from homelake.llm.decontamination import op1_decontamination
 from homelake.llm.html_text import op2_html_text
 from homelake.llm.language import op4_language
+from homelake.llm.lexical import op12_lexical
 from homelake.llm.licenses import op6_licenses
 from homelake.llm.merkle import op11_merkle
 from homelake.llm.mixing import op8_mixing
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_secrets": op10_secrets,
     "op11_merkle": op11_merkle,
+    "op12_lexical": op12_lexical,
 }
 
 ORACLE_SQL = {
@@ -35,4 +37,5 @@ ORACLE_SQL = {
     "op6_licenses": licenses.oracle(),
     "op9_near_dedup": near_dedup.ORACLE,
     "op11_merkle": merkle.ORACLE,
+    "op12_lexical": lexical.ORACLE,
 }
