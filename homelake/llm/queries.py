@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from homelake.llm import decontamination, lexical, licenses, merkle, near_dedup, top_k
+from homelake.llm.bpe import op13_bpe
 from homelake.llm.decontamination import op1_decontamination
 from homelake.llm.html_text import op2_html_text
 from homelake.llm.language import op4_language
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_merkle": op11_merkle,
     "op12_lexical": op12_lexical,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLE_SQL = {
