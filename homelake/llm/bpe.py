@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import sys
 import unicodedata
 from collections import Counter
@@ -40,11 +41,19 @@ from homelake.session import shared_folder
 LEXICON_WORDS = 1 << 16
 WORD_BYTES = 32
 CHUNK_CHARS = 1 << 20
+# Longer words are merged by a heap.
+LONG_WORD = 64
+_ID_BITS = 24
+_ID = (1 << _ID_BITS) - 1
+_NONE = 1 << 62
 # Merged words that a task remembers before it forgets them all.
 REMEMBERED = 1 << 16
 # Fixed value: the pattern of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The same where a text is ASCII, for Python's faster module.
+ASCII_PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+
 
 def byte_letters() -> dict[str, int]:
     """Letter that stands for each byte in a vocabulary file: itself where it is printable, else one beyond the first 256."""
@@ -67,7 +76,8 @@ class Tokenizer:
         letters, vocabulary = byte_letters(), model["vocab"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.single = [vocabulary[letter] for letter, _ in sorted(letters.items(), key=lambda item: item[1])]
-        self.merges = {(vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # A merge is its rank (from 1) above the id it gives, so the least one is the one to do.
+        self.merges = {(vocabulary[a], vocabulary[b]): (rank + 1) << _ID_BITS | vocabulary[a + b] for rank, (a, b) in enumerate(pairs)}
         self.pieces = {at: bytes(letters[letter] for letter in token) for token, at in vocabulary.items()}
         self.added = {token["content"]: token["id"] for token in content["added_tokens"]}
         if any(token["lstrip"] or token["rstrip"] or token["single_word"] for token in content["added_tokens"]):
@@ -77,47 +87,63 @@ class Tokenizer:
     def merged(self, word: bytes) -> list[int]:
         """Ids of a word: while any two neighbours merge, those of lowest rank do, the leftmost first."""
         ids: list[int] = [self.single[b] for b in word]
+        if len(ids) > LONG_WORD:
+            return self._merged_long(ids)
+        steps = [self.merges.get(pair, _NONE) for pair in zip(ids, ids[1:])]
+        while steps and (step := min(steps)) != _NONE:
+            at = steps.index(step)
+            ids[at : at + 2] = [step & _ID]
+            del steps[at]
+            if at:
+                steps[at - 1] = self.merges.get((ids[at - 1], ids[at]), _NONE)
+            if at < len(steps):
+                steps[at] = self.merges.get((ids[at], ids[at + 1]), _NONE)
+        return ids
+
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """The same in n log n steps: neighbours wait in a heap."""
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        waiting = [(self.merges[pair][0], at) for at, pair in enumerate(zip(ids, ids[1:])) if pair in self.merges]
+        waiting = [(self.merges[pair], at) for at, pair in enumerate(zip(ids, ids[1:])) if pair in self.merges]
         heapq.heapify(waiting)
         while waiting:
-            rank, at = heapq.heappop(waiting)
+            step, at = heapq.heappop(waiting)
             right = after[at]
-            if ids[at] < 0 or right >= len(ids):
-                continue
-            found = self.merges.get((ids[at], ids[right]))
-            if not found or found[0] != rank:
+            if ids[at] < 0 or right >= len(ids) or self.merges.get((ids[at], ids[right])) != step:
                 continue  # one of the two has changed since
-            ids[at], ids[right], after[at] = found[1], -1, after[right]
+            ids[at], ids[right], after[at] = step & _ID, -1, after[right]
             if after[at] < len(ids):
                 before[after[at]] = at
-                if pair := self.merges.get((ids[at], ids[after[at]])):
-                    heapq.heappush(waiting, (pair[0], at))
-            if before[at] >= 0 and (pair := self.merges.get((ids[before[at]], ids[at]))):
-                heapq.heappush(waiting, (pair[0], before[at]))
+                if found := self.merges.get((ids[at], ids[after[at]])):
+                    heapq.heappush(waiting, (found, at))
+            if before[at] >= 0 and (found := self.merges.get((ids[before[at]], ids[at]))):
+                heapq.heappush(waiting, (found, before[at]))
         return [i for i in ids if i >= 0]
 
 
 @lru_cache(maxsize=1)
-def _young() -> regex.Pattern:
-    """Code points that Python's Unicode tables do not know: there pattern libraries of other ages disagree."""
-    known = np.array([unicodedata.category(chr(c)) != "Cn" for c in range(sys.maxunicode + 1)])
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], known, [True]]).astype(np.int8)))
-    return regex.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2)) + "]")
+def _known() -> np.ndarray:
+    """Of every code point, whether Python's Unicode tables know it: of others, pattern libraries of different ages disagree."""
+    return np.array([unicodedata.category(chr(c)) != "Cn" for c in range(sys.maxunicode + 1)])
+
+
+def _all_known(text: str) -> bool:
+    return bool(_known()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].all())
 
 
 class Splitter:
     """Cuts texts into words and added tokens (as their ids)."""
 
     def __init__(self, added: dict[str, int]) -> None:
-        self.words = regex.compile(PATTERN).findall
+        self.words, self.ascii_words = regex.compile(PATTERN).findall, re.compile(ASCII_PATTERN).findall
         self.added = added
         # Of two added tokens at one place the longer holds.
         longest = sorted(added, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if added else None
 
     def _plain(self, text: str) -> list[str]:
-        if text.isascii() or not _young().search(text):
+        if text.isascii():
+            return self.ascii_words(text)
+        if _all_known(text):
             return self.words(text)
         from tokenizers.pre_tokenizers import ByteLevel  # what its tables say of such a code point holds
 
