@@ -1,7 +1,7 @@
 """Byte-pair encoding of texts through a minimal acyclic transducer of frequent words, and decoding.
 
-1. Texts are cut into words by the tokenizer's pattern and the words counted over the whole corpus; the ``LEXICON_WORDS`` most frequent of at most
-   ``WORD_BYTES`` bytes are the lexicon (a documented bound: it sets the speed, never the ids).
+1. Texts are cut into words by the tokenizer's pattern and the words counted over the whole corpus; the most frequent of at most
+   ``WORD_BYTES`` bytes, up to ``LEXICON_WORDS``, are the lexicon (a documented bound: it sets the speed, never the ids).
 2. The lexicon is compiled on the driver: its words, sorted, become the smallest acyclic automaton that accepts them, in which equal suffixes are
    shared.  An arc carries the number of lexicon words that sort before what follows it, so the sum along a word's path is that word's
    number, and the number leads to its ids.  The arrays lie in one file in the shared folder, which Spark hands to every executor and workers map
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homelake.llm.common import table
-from homelake.session import shared_folder
+from homelake.session import cut_lineage, shared_folder
 
 LEXICON_WORDS = 1 << 16
 WORD_BYTES = 32
@@ -46,8 +46,6 @@ LONG_WORD = 64
 _ID_BITS = 24
 _ID = (1 << _ID_BITS) - 1
 _NONE = 1 << 62
-# Merged words that a task remembers before it forgets them all.
-REMEMBERED = 1 << 16
 # Fixed value: the pattern of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -172,7 +170,7 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", words: int = LEXICON_WORDS) -> list[bytes]:
-    """The most frequent words of all texts (ties by their bytes), sorted."""
+    """The most frequent words of all texts, at most ``words``, sorted; words of like frequency come all or none."""
     added = tokenizer.added
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +185,16 @@ def frequent_words(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", wo
                 own = {word: n for word, n in own.items() if len(word) <= WORD_BYTES}
                 yield pa.RecordBatch.from_arrays([pa.array(own.keys(), pa.binary()), pa.array(own.values(), pa.int64())], names=["word", "n"])
 
-    counts = docs.select(text).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return sorted(bytes(row["word"]) for row in counts.orderBy(F.desc("n"), "word").limit(words).collect())
+    counts = cut_lineage(docs.select(text).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    # The least frequency that no more than ``words`` words reach, to a tenth of a binary order.
+    order = F.floor(F.log2("n") * 10)
+    reached, least = 0, None
+    for row in counts.groupBy(order.alias("level")).agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        reached += row["words"]
+        if reached > words:
+            break
+        least = row["level"]
+    return sorted(bytes(row["word"]) for row in counts.where(order >= least).select("word").collect()) if least is not None else []
 
 
 def minimal_automaton(words: list[bytes]) -> tuple[list[tuple[bool, tuple]], int]:
@@ -238,7 +244,7 @@ class Lexicon:
     """A compiled transducer, mapped from a file or held in an array."""
 
     def __init__(self, source: str | np.ndarray) -> None:
-        content = np.memmap(source, dtype="<i4", mode="r") if isinstance(source, str) else source
+        content = np.memmap(source, dtype="<i4", mode="r").view(np.ndarray) if isinstance(source, str) else source
         arcs, states, words, ids, self.first = (int(n) for n in content[:5])
         edges = np.cumsum([5, arcs, arcs, arcs, states, words + 1, ids])
         self.keys, self.targets, self.outputs, self.final, self.starts, self.ids = (content[a:b] for a, b in zip(edges, edges[1:]))
@@ -264,17 +270,63 @@ class Lexicon:
         return np.where(ends, number, -1)
 
 
+class Merger:
+    """Merges many words at once: a row per word, one merge per row and step, as :meth:`Tokenizer.merged` does for one."""
+
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        self.tokenizer = tokenizer
+        keys = np.array([a << _ID_BITS | b for a, b in tokenizer.merges], dtype=np.int64)
+        order = np.argsort(keys)
+        self.keys, self.steps = keys[order], np.fromiter(tokenizer.merges.values(), dtype=np.int64, count=len(keys))[order]
+        self.single = np.array(tokenizer.single, dtype=np.int64)
+
+    def _of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merge of each pair, ``_NONE`` where there is none or one of the two is past the end (-1)."""
+        if not len(self.keys):
+            return np.full(left.shape, _NONE)
+        key = left << _ID_BITS | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.steps[at], _NONE)
+
+    def __call__(self, words: list[bytes]) -> list[np.ndarray]:
+        out = [np.array(self.tokenizer.merged(word), dtype=np.int32) if len(word) > LONG_WORD else None for word in words]
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        low, width = 0, 8
+        while low < LONG_WORD:
+            rows = np.flatnonzero((size > low) & (size <= width))
+            if len(rows):
+                self._band([words[row] for row in rows], rows, width, out)
+            low, width = width, width * 2
+        return [np.array([], dtype=np.int32) if own is None else own for own in out]
+
+    def _band(self, words: list[bytes], rows: np.ndarray, width: int, out: list) -> None:
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        ids = np.full((len(words), width + 1), -1, dtype=np.int64)
+        ids[np.arange(width + 1) < size[:, None]] = self.single[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        steps = self._of(ids[:, :-1], ids[:, 1:])
+        places = np.arange(width + 1)
+        while len(rows):
+            at = steps.argmin(axis=1)
+            step = steps[np.arange(len(rows)), at]
+            live = step != _NONE
+            if not live.all():
+                for row, own, n in zip(rows[~live].tolist(), ids[~live].astype(np.int32), size[~live].tolist()):
+                    out[row] = own[:n]
+                rows, ids, steps, size, at, step = (part[live] for part in (rows, ids, steps, size, at, step))
+            every = np.arange(len(rows))
+            # What stands right of a merged pair moves up by one.
+            moved = np.minimum(places + (places > at[:, None]), width)
+            ids = np.take_along_axis(ids, moved, axis=1)
+            steps = np.take_along_axis(steps, np.minimum(moved[:, :-1], width - 1), axis=1)
+            ids[every, at], size = step & _ID, size - 1
+            steps[every, at] = self._of(ids[every, at], ids[every, at + 1])
+            left = np.flatnonzero(at > 0)
+            steps[left, at[left] - 1] = self._of(ids[left, at[left] - 1], ids[left, at[left]])
+
+
 class Encoder:
     def __init__(self, lexicon: Lexicon, tokenizer: Tokenizer) -> None:
-        self.lexicon, self.tokenizer, self.split = lexicon, tokenizer, Splitter(tokenizer.added)
-        self._merged: dict[bytes, np.ndarray] = {}
-
-    def _unseen(self, word: bytes) -> np.ndarray:
-        if word not in self._merged:
-            if len(self._merged) >= REMEMBERED:
-                self._merged.clear()
-            self._merged[word] = np.array(self.tokenizer.merged(word), dtype=np.int32)
-        return self._merged[word]
+        self.lexicon, self.merger, self.split = lexicon, Merger(tokenizer), Splitter(tokenizer.added)
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, where each text's begin and the last one's end)."""
@@ -287,14 +339,14 @@ class Encoder:
             upto.append(len(met))
         words = [b"" if isinstance(word, int) else word.encode("utf-8", "surrogatepass") for word in index]
         numbers, lexicon = self.lexicon.numbers(words), self.lexicon
+        unseen = np.flatnonzero(numbers < 0).tolist()
+        merged = dict(zip(unseen, self.merger([words[at] for at in unseen])))
         own = []
-        for key, word, number in zip(index, words, numbers.tolist()):
+        for at, (key, number) in enumerate(zip(index, numbers.tolist())):
             if isinstance(key, int):
                 own.append(np.array([key], dtype=np.int32))
-            elif number >= 0:
-                own.append(lexicon.ids[lexicon.starts[number] : lexicon.starts[number + 1]])
             else:
-                own.append(self._unseen(word))
+                own.append(lexicon.ids[lexicon.starts[number] : lexicon.starts[number + 1]] if number >= 0 else merged[at])
         if not own:
             return np.array([], dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int32)
         size = np.fromiter(map(len, own), dtype=np.int64, count=len(own))

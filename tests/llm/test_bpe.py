@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
 
 from homelake.llm import bpe
-from homelake.llm.bpe import Encoder, Lexicon, Splitter, Tokenizer, compiled, decode_ids, encode_texts, minimal_automaton, op13_bpe
+from homelake.llm.bpe import Encoder, Lexicon, Merger, Splitter, Tokenizer, compiled, decode_ids, encode_texts, minimal_automaton, op13_bpe
 from tests.llm.helpers import digest, documents, write_tables
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,11 +59,15 @@ def test_other_columns_stay(spark, tokenizer, library):
 
 
 def test_merges_of_random_words(tokenizer, library):
-    rng = random.Random(2)
+    rng, words = random.Random(2), [b"", b"x" * 64, b"xy" * 40]
     for _ in range(3000):
         word = "".join(rng.choice("abcdehinorst'ÄÖüß日 ") for _ in range(rng.randint(1, 40)))
-        own = [i for part in Splitter({})(word) for i in tokenizer.merged(part.encode())]
+        parts = [part.encode() for part in Splitter({})(word)]
+        own = [i for part in parts for i in tokenizer.merged(part)]
         assert own == library.encode(word).ids, word
+        words += parts
+    assert [own.tolist() for own in Merger(tokenizer)(words)] == [tokenizer.merged(word) for word in words]
+    assert tokenizer._merged_long([tokenizer.single[b] for b in b"internationalisation"]) == tokenizer.merged(b"internationalisation")
 
 
 def test_every_code_point_is_split_as_the_library_does(library):
