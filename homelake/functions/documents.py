@@ -6,6 +6,8 @@ of repeated keys holds), so texts are taken apart with Spark's JSON reader, whic
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,10 +32,31 @@ def json_objects(list_text: Column) -> Column:
     return F.filter(items, lambda entry: F.coalesce(entry["item"].startswith("{"), F.lit(False)))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often and wherever ``use`` mentions it.
+
+    A column expression inside a lambda is computed anew for every element; a lambda's own variable is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def last_of_each_key(members: Column) -> Column:
-    """Entries (key, value) of a map read from JSON, where a repeated key keeps its last value."""
-    keys = F.map_keys(members)
-    return F.filter(F.map_entries(members), lambda entry, at: ~F.array_contains(F.slice(keys, at + 2, F.size(keys)), entry["key"]))
+    """Entries (key, value) of a map read from JSON, where a repeated key keeps its last value.
+
+    The map is read once.  Where no key repeats, which one hash pass over the keys tells, its entries are handed on; else keys
+    are sorted with their places, and the last place of each key is kept.
+    """
+
+    def last(entries: Column) -> Column:
+        placed = F.sort_array(F.transform(entries, lambda entry, at: F.struct(entry["key"].alias("key"), at.alias("at"))))
+        lasts = bound(placed, lambda of: F.filter(of, lambda one, at: ~one["key"].eqNullSafe(F.get(of, at + 1)["key"])))
+        return F.transform(F.sort_array(lasts["at"]), lambda at: F.get(entries, at))
+
+    def cleaned(entries: Column) -> Column:
+        keys = entries["key"]
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last(entries))
+
+    return bound(F.map_entries(members), cleaned)
 
 
 def compact(text: Column) -> Column:

@@ -1,4 +1,6 @@
+import json
 import random
+import time
 import unicodedata
 
 import pytest
@@ -95,3 +97,45 @@ def test_json_objects_and_repeated_keys(spark):
     assert items == ['[{"pos":0,"item":"{\\"a\\":1}"},{"pos":3,"item":"{\\"b\\":[1,{\\"c\\":2}]}"}]', None, None, None, "[]"]
     last = evaluate(spark, lambda c: F.to_json(F.map_from_entries(fn.last_of_each_key(F.from_json(c, "map<string,variant>")))), ['{"a":1,"b":2,"a":3}'])
     assert last == ['{"b":2,"a":3}']
+
+
+def test_the_last_of_repeated_keys_holds(spark):
+    texts = ['{"a": 1, "b": 2, "a": 3, "c": 4, "b": null}', '{"a": 1, "c": 5}', "{}", "[1]", None, '{"é": 1, "é": 2}']
+    rows = spark.createDataFrame([(text,) for text in texts], "t string")
+    entries = rows.select(fn.last_of_each_key(F.from_json("t", "map<string,string>")).alias("e"))
+    found = [None if r["e"] is None else [(e["key"], e["value"]) for e in r["e"]] for r in entries.collect()]
+    assert found == [[("a", "3"), ("c", "4"), ("b", None)], [("a", "1"), ("c", "5")], [], None, None, [("é", "2")]]
+
+
+def test_records_are_parsed_once_however_wide(spark):
+    """Each parse of the wide object takes a tenth of a second; one per member would take hours."""
+    from homelake.sources.embedded import _record
+
+    wide = json.dumps({f"k{i}": i for i in range(100_000)})
+    rows = spark.createDataFrame([(wide,), (wide[:-1] + ', "k7": "last"}',)], "t string")
+    start = time.perf_counter()
+    found = rows.select(_record(F.col("t"), ["k3"]).alias("r")).collect()
+    assert time.perf_counter() - start < 20
+    first, second = (json.loads(r["r"]) for r in found)
+    assert len(first) == len(second) == 99_999 and "k3" not in second
+    assert (first["k7"], second["k7"]) == (7, "last")
+
+
+def test_records_of_usual_width_take_no_longer_than_a_filter(spark):
+    from homelake.sources.embedded import _record
+
+    members = F.concat_ws(",", *[F.format_string(f'"k{i}":"v%d"', F.col("id")) for i in range(61)])
+    rows = spark.range(20_000).select(F.concat(F.lit("{"), members, F.lit("}")).alias("t")).persist()
+    rows.count()
+
+    def seconds(column):
+        times = []
+        for _ in range(4):
+            start = time.perf_counter()
+            rows.select(column).write.format("noop").mode("overwrite").save()
+            times.append(time.perf_counter() - start)
+        return min(times[1:])
+
+    plain = F.to_json(F.map_filter(F.from_json("t", "map<string,variant>"), lambda name, _: name != "k3"))
+    assert seconds(_record(F.col("t"), ["k3"])) < 3 * seconds(plain)  # 1.4 by itself; other work on the machine may come in between
+    rows.unpersist()
