@@ -1,7 +1,7 @@
-"""Ids of all earlier runs, kept as a narrow table so that a run need not read the records of the earlier ones.
+"""Ids of all earlier runs, kept as a key table so that a run need not read the records of the earlier ones.
 
-``<bronze>/seen_ids/<entity>/run=<stamp>`` holds the ids a run brought.  The run files stay the truth: a run whose ids are not in the table,
-because it is older than the table or broke off before writing them, is read from its files and added.
+``<bronze>/seen_ids/<entity>`` holds the table (see :mod:`homelake.sources.keys`) and, in ``runs``, an empty file per run whose ids are all in it.  The
+run files stay the truth: a run without that file, because it is older than the table or broke off before its ids were written, is read and added.
 """
 
 from __future__ import annotations
@@ -11,15 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from homelake.sources.readers import distinct_keys, read_entity, run_glob
-
-
-def _names(spark: SparkSession, pattern: str, stamp: str) -> dict[str, str]:
-    """Stamp and path of everything that matches a path pattern."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    paths = [str(status.getPath().toString()) for status in found or []]
-    return {re.search(stamp, one)[1]: one for one in paths}
+from homelake.sources.keys import add_keys, list_files, stored_keys
+from homelake.sources.readers import read_entity, run_glob
 
 
 def _folder(bronze_dir: str, entity: str) -> str:
@@ -27,18 +20,20 @@ def _folder(bronze_dir: str, entity: str) -> str:
 
 
 def add_seen(rows: DataFrame, bronze_dir: str, entity: str, key: str, run_id: str) -> None:
-    """Note the ids of a run after its records are written; a repeated run replaces its own."""
-    distinct_keys(rows, key).write.mode("overwrite").parquet(f"{_folder(bronze_dir, entity)}/run={run_id}")
+    """Note the ids of a run after its records are written; noting a run twice changes nothing."""
+    spark, folder = rows.sparkSession, _folder(bronze_dir, entity)
+    add_keys(rows, folder, key)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/runs/run_{run_id}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
 
 
 def seen_ids(spark: SparkSession, bronze_dir: str, entity: str, key: str) -> DataFrame:
     """Distinct ids of all earlier runs; malformed lines and records without the id are skipped."""
     folder = _folder(bronze_dir, entity)
-    runs = _names(spark, run_glob(bronze_dir, entity), rf"{entity}_?([^/]*)\.jsonl$")
-    noted = _names(spark, f"{folder}/run=*", r"run=([^/]*)$")
+    stamp = re.compile(rf"{re.escape(entity)}_?([^/]*)\.jsonl$")
+    runs = {stamp.search(path)[1]: path for path in list_files(spark, run_glob(bronze_dir, entity))}
+    noted = {path.rsplit("/run_", 1)[-1] for path in list_files(spark, f"{folder}/runs/run_*")}
     schema = T.StructType([T.StructField(key, T.StringType())])
-    for run_id in sorted(set(runs) - set(noted)):
+    for run_id in sorted(set(runs) - noted):
         add_seen(read_entity(spark, runs[run_id], schema, mode="DROPMALFORMED"), bronze_dir, entity, key, run_id)
-    if not runs:
-        return spark.createDataFrame([], schema)
-    return distinct_keys(spark.read.schema(schema).parquet(folder), key)
+    return stored_keys(spark, folder, key).distinct()  # within buckets, without a shuffle

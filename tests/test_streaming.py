@@ -52,3 +52,22 @@ def test_several_batches_in_one_run(spark, tmp_path, write_jsonl):
         write_jsonl(source / f"properties_{n}.jsonl", [{"id": "same", "seq": 10}, {"id": f"x{n}", "seq": n}])
     drain(spark, source, target, str(tmp_path / "cp"), max_files=1)
     assert stored(spark, target) == [("same", 10), ("x0", 0), ("x1", 1), ("x2", 2), ("x3", 3)]
+
+
+def test_folders_do_not_grow_and_a_broken_off_batch_is_completed(spark, tmp_path):
+    import os
+
+    from homelake.streaming.incremental import _append_unseen, _open_target
+
+    target = str(tmp_path / "out")
+    _open_target(spark, target, SCHEMA)
+    for number in range(4):
+        _append_unseen(spark.createDataFrame([(f"x{number}", 1), ("same", number)], SCHEMA), number, target, "id", ["seq"], buckets=2)
+        if not number:
+            folders = [folder for folder, _, _ in os.walk(target)]
+    assert [folder for folder, _, _ in os.walk(target)] == folders
+    # A first attempt that left one of its records and no keys.
+    spark.createDataFrame([("p", 1, 4)], "id string, seq long, batch_id long").write.mode("append").parquet(f"{target}/records")
+    _append_unseen(spark.createDataFrame([("p", 1), ("q", 2), ("x1", 9)], SCHEMA), 4, target, "id", ["seq"])
+    _append_unseen(spark.createDataFrame([("p", 8), ("q", 8)], SCHEMA), 5, target, "id", ["seq"])
+    assert stored(spark, target) == [("p", 1), ("q", 2), ("same", 0), ("x0", 1), ("x1", 1), ("x2", 1), ("x3", 1)]
