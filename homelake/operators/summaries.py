@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homelake.functions import contains_any, round_to_grid
-from homelake.operators.joins import HOT_ROWS, lookup_join
+from homelake.operators.joins import lookup_join
 
 
 def summary_by(df: DataFrame, dims: list[str], aggs: dict[str, Column], where: Column | None = None) -> DataFrame:
@@ -75,21 +75,20 @@ def left_join_count(
 
 
 def std_by_key(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """(key, sample standard deviation, count); the missing key has a row for its count."""
-    stats = {out: F.stddev_samp(value), "count": F.count(F.lit(1))}
-    return summary_by(df, [key], stats)
+    """(key, sample standard deviation) of every key."""
+    return summary_by(df.where(F.col(key).isNotNull()), [key], {out: F.stddev_samp(value)})
 
 
 def with_group_std(
-    df: DataFrame, stats: DataFrame, key: str, out: str, spread_by: list[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, stats: DataFrame, key: str, out: str, spread_by: list[str], hot_rows: int | None = None
 ) -> DataFrame:
     """Add the deviation of a row's group; 0 for a single value or a missing key."""
-    joined = lookup_join(df, stats.select(key, out), key, spread_by, hot_rows=hot_rows, key_counts=stats)
+    joined = lookup_join(df, stats.select(key, out), key, spread_by, hot_rows=hot_rows)
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
 
 
 def group_std(
-    df: DataFrame, key: str, value: str, out: str, spread_by: list[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, key: str, value: str, out: str, spread_by: list[str], hot_rows: int | None = None
 ) -> DataFrame:
     """Sample standard deviation of the row's group on every row.
 

@@ -15,7 +15,6 @@ from homelake.operators import (
     top_by,
     with_group_std,
 )
-from homelake.operators.joins import HOT_ROWS
 from homelake.sources import read_tables, write_table
 
 # Words, weights, codes and thresholds that define the features.
@@ -164,19 +163,19 @@ def project_dimension(silver: dict[str, DataFrame], months: list[str] | None = N
     return dimension.join(scores, "project_id", "full").join(prices, "project_id", "full")
 
 
-def features(silver: dict[str, DataFrame], months: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def features(silver: dict[str, DataFrame], months: list[str] | None = None, hot_rows: int | None = None) -> DataFrame:
     """Listing columns, project columns, scores, one price column per month, and the derived features.
 
     ``months`` fixes the price columns; without it they are looked up in the price table.  Subdivisions add no
     column, so they are not joined.  The narrow sector statistics are joined before the wide project
-    columns, and key counts are taken from the stored listings rather than from a join's result.
+    columns, and hot keys are looked for in the stored listings rather than in a join's result.
     """
     listings = silver["properties"]
     volatility = std_by_key(listings, "sector_id", "min_selling_price", "block_price_volatility")
     rows = with_group_std(listings, volatility, "sector_id", "block_price_volatility", ["id"], hot_rows)
     wide = join_exclude(
         rows, project_dimension(silver, months), "project_id", [], ["id"],
-        hot_rows=hot_rows, key_counts=listings.groupBy("project_id").count(),
+        hot_rows=hot_rows, stored=listings,
     )
     scored = wide.withColumns({name: F.coalesce(name, F.lit(0)) for name in ("amenity_score", "core_amenity_score")})
     first, second = derived_features()

@@ -114,3 +114,15 @@ def test_monthly_means_with_a_hot_key(spark, skewed):
         if key in ("hot", "k1", "k2"):
             expected["h" if key == "k2" else "g", i % 3].append(value)
     assert found == pytest.approx({k: statistics.mean(v) for k, v in expected.items()})
+
+
+def test_heavy_keys_are_found_by_the_sketch(spark, skewed):
+    from homelake.operators.joins import heavy_keys
+
+    rows, fact = skewed
+    counts = Counter(key for _, key, _ in rows)
+    for hot_rows in (1, 20, 100, 900):
+        found = {r[0]: r[1] for r in heavy_keys(fact, "key", hot_rows).collect()}
+        assert set(found) == {key for key, n in counts.items() if n > hot_rows}
+        assert all(parts == -(-counts[key] // hot_rows) for key, parts in found.items())
+    assert heavy_keys(fact, "key", N).count() == 0
