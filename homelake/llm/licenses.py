@@ -11,9 +11,13 @@ looked up each for itself; with several names for one digest the first by name h
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from homelake.functions import bound
 from homelake.llm.common import table
 from homelake.session import cut_lineage
 
@@ -69,7 +73,7 @@ TITLES = {"MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"], "I
 HINT = r"(?i)licen[cs]|permission|copyright"
 # A line that begins with a mark, a year or a holder; a licence's own words on copyright stay.
 _COPYRIGHT_LINE = (
-    r"(?:^|\n)[\s*#/;%-]*"
+    r"(?:^|\n)[ \t*#/;%-]*+"
     r"(?:[cC][oO][pP][yY][rR][iI][gG][hH][tT][ \t]*(?:\([cC]\)|©|[0-9]{4}|[bB][yY] )|\([cC]\)|©|[aA]ll [rR]ights [rR]eserved)[^\n]*"
 )
 
@@ -86,25 +90,30 @@ def canonical(text: Column) -> Column:
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical text; null if nothing is left."""
-    plain = canonical(text)
-    return F.when(plain != "", F.sha2(plain, 256))
+    return bound(canonical(text), lambda plain: F.when(plain != "", F.sha2(plain, 256)))
+
+
+# A first line that names the licence, with an empty line after it.
+_TITLE = r"(?i)^\s*[^\n]{0,80}licen[cs]e[^\n]{0,80}\n\s*\n"
 
 
 def known_texts() -> list[tuple[str, str]]:
-    """(license, text) of the built-in notices and licences."""
-    rows = [(name, text) for name, texts in NOTICES.items() for text in texts]
-    return rows + list(LICENSES.items())
+    """(license, text) of the built-in notices and licences; licences with and without a title line.
+
+    Besides the texts above, ``texts`` next to this module holds one published licence per file, named by its short identifier.
+    """
+    whole = list(LICENSES.items()) + [(name, f"{title}\n\n{LICENSES[name]}") for name, titles in TITLES.items() for title in titles]
+    whole += [(path.stem, path.read_text(encoding="utf-8")) for path in sorted(Path(__file__).with_name("texts").glob("*.txt"))]
+    untitled = [(name, re.sub(_TITLE, "", text, count=1)) for name, text in whole if re.match(_TITLE, text)]
+    return [(name, text) for name, texts in NOTICES.items() for text in texts] + whole + untitled
 
 
 def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
     """(digest, license) of known (license, text) rows, each text with and without its title line; a DataFrame may hold any number."""
-    if texts is None:
-        texts = known_texts() + [(name, f"{title}\n\n{LICENSES[name]}") for name, titles in TITLES.items() for title in titles]
-    known = texts if isinstance(texts, DataFrame) else spark.createDataFrame(texts, "license string, text string")
-    title = r"(?i)^\s*[^\n]{0,80}licen[cs]e[^\n]{0,80}\n\s*\n"
-    untitled = F.when(F.col("text").rlike(title), F.regexp_replace("text", title, ""))
+    known = texts if isinstance(texts, DataFrame) else spark.createDataFrame(known_texts() if texts is None else texts, "license string, text string")
+    untitled = F.when(F.col("text").rlike(_TITLE), F.regexp_replace("text", _TITLE, ""))
     every = known.select("license", F.explode(F.array("text", untitled)).alias("text")).select("license", digest(F.col("text")).alias("digest"))
-    return every.where("digest is not null").groupBy("digest").agg(F.min("license").alias("license"))
+    return cut_lineage(every.where("digest is not null").groupBy("digest").agg(F.min("license").alias("license")))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, text: str = "text", hint: str | None = None) -> DataFrame:
@@ -134,7 +143,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_digest(text: str) -> str:
     quote = lambda value: "'" + value.replace("'", "''") + "'"
-    lines = f"regexp_replace({text}, {quote(_COPYRIGHT_LINE)}, chr(10), 'g')"
+    lines = f"regexp_replace({text}, {quote(_COPYRIGHT_LINE.replace('*+', '*'))}, chr(10), 'g')"
     out = f"' ' || trim(regexp_replace(lower({lines}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' '"
     for spelling, usual in SPELLINGS.items():
         out = f"replace({out}, {quote(f' {spelling} ')}, {quote(f' {usual} ')})"
