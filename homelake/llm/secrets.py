@@ -1,7 +1,7 @@
 """Secrets and who owns them, from DataFrame functions only.
 
 Candidates are the matches of three base patterns (assign, access, hex) and of further token forms.  Their values are hashed and counted
-over the whole corpus: in how many repositories and by how many owners each appears.  A value that many owners hold is a copied example; one
+over the whole corpus: in how many repositories and by how many owners each appears.  A value that many owners hold, or many repositories of one, is a copied example; one
 that a single owner (or a few) holds and that looks random is a live-looking credential.
 
 Counts are aggregates that combine before each exchange, so a value in a third of all rows is one row per task.  Verdicts come
@@ -19,8 +19,9 @@ from homelake.llm.common import table
 from homelake.llm.spans import Pattern, span_text, with_spans
 from homelake.session import cut_lineage
 
-# A value held by this many owners is an example that was copied around.
+# A value held by this many owners, or in this many repositories of whoever owns them, is an example that was copied around.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 10
 _ASSIGN = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*+[:=]\x20*+[\"']?([A-Za-z0-9+/_.=-]++)"
 
 # The quantifiers are possessive and minimum lengths are part of the pattern where that changes no match, for speed.
@@ -84,30 +85,31 @@ def ownership(scanned: DataFrame) -> DataFrame:
 def judged_secrets(scanned: DataFrame) -> DataFrame:
     """One row per candidate: row_id, kind, start, end, base, hash, repositories, owners and verdict (example, live or plain)."""
     rows = scanned.select("row_id", F.explode("candidates").alias("c")).select("row_id", "c.*")
-    verdict = F.when(F.col("owners") >= EXAMPLE_OWNERS, "example").when(F.col("random"), "live").otherwise("plain")
+    copied = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    verdict = F.when(copied, "example").when(F.col("random"), "live").otherwise("plain")
     return rows.join(ownership(scanned), "hash").withColumn("verdict", verdict)
 
 
-def _listed(spans: Column) -> Column:
-    """kind:start:end of (kind, start, end), by start, then kind as listed."""
-    place = F.array(*map(F.lit, KINDS))
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), F.array_position(place, s["kind"]).alias("place"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    return span_text(ordered)
-
-
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Besides the contract's columns: ``verdicts`` (kind:start:end:verdict of every candidate, in order of place), ``n_live`` and ``n_example``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", F.col("doc_id").alias("repository"))
     scanned = scan_secrets(docs, "source", "repository")
-    live = judged_secrets(scanned).where("not base and verdict = 'live'")
-    added = live.groupBy("row_id").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
-    found = scanned.join(added, "row_id", "left")
-    base = F.transform(F.filter("candidates", lambda c: c["base"]), lambda c: F.struct(c["kind"], c["start"], c["end"]))
+    place = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    judged = judged_secrets(scanned).groupBy("row_id").agg(
+        F.array_sort(F.collect_list(F.struct("start", place.alias("place"), "end", "kind", "base", "verdict"))).alias("judged"))
+    found = scanned.join(judged, "row_id", "left")
+    every = F.coalesce("judged", F.array().cast("array<struct<start:int,place:int,end:int,kind:string,base:boolean,verdict:string>>"))
+    base = F.filter(every, lambda c: c["base"])
+    shown = F.filter(every, lambda c: c["base"] | (c["verdict"] == "live"))
+    verdicts = F.transform(every, lambda c: F.concat_ws(":", c["kind"], c["start"].cast("string"), c["end"].cast("string"), c["verdict"]))
+
+    def count(name: str, what: Column) -> Column:
+        return F.size(what).cast("long").alias(name)
 
-    def count(kind: str) -> Column:
-        return F.size(F.filter("candidates", lambda c: c["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    def of_kind(kind: str) -> Column:
+        return F.filter("candidates", lambda c: c["kind"] == kind)
 
-    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     return found.select(
-        "doc_id", *[count(p.kind) for p in BASE], F.sha2(_listed(base), 256).alias("base_sha256"),
-        _listed(F.concat(base, F.coalesce("added", none))).alias("spans"))
+        "doc_id", *[count(f"n_{p.kind}", of_kind(p.kind)) for p in BASE],
+        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(shown).alias("spans"), F.array_join(verdicts, ",").alias("verdicts"),
+        count("n_live", F.filter(every, lambda c: c["verdict"] == "live")), count("n_example", F.filter(every, lambda c: c["verdict"] == "example")))
