@@ -3,7 +3,7 @@
 1. Targets: sources in code point order weigh 1, 2, 3, 1, ... and share all words; a source stops at ``MAX_REPEATS`` times its own
    words and the excess goes to the others by weight, until none is above.
 2. Schedule: slot n falls at the van der Corput point of n on the line of cumulated targets and so belongs to a source.  A source's slots are
-   ranked; its last one is cut so that the source ends at its target.
+   ranked; it takes them until it has met its target, the last one cut.  Slots that fall to a source beyond that are left out of the mix.
 3. Blocks: a source's documents, shuffled by a hash of their ids, form one stream of words, cut into blocks of equal length
    (``BLOCK_WORDS``, up to rounding).  Slot r takes block r modulo the number of blocks; a document's words in a taken block are taken.
 
@@ -92,40 +92,60 @@ def _block_of(word: Column) -> Column:
     return F.when(word < begun, F.floor(word / (short + 1))).otherwise(longer + F.floor((word - begun) / short))
 
 
-def _schedule(spark: SparkSession, sources: DataFrame) -> DataFrame:
-    """(number, place): number and rank of every slot of each source, as many as its goal needs.
+def _edged(sources: DataFrame) -> DataFrame:
+    """``low``: needs of the sources before; summed in runs of ``RUN_SLOTS`` sources, then within a run."""
+    runs = sources.withColumn("run", F.floor(F.col("number") / RUN_SLOTS))
+    sums = runs.groupBy("run").agg(F.sum("need").alias("needs")).withColumn("__all", F.lit(0))
+    ahead = _running(sums, ["__all"], ["run"], "needs", "ahead").select("run", "ahead")
+    within = _running(runs, ["run"], ["number"], "need", "within").join(ahead, "run")
+    return within.withColumn("low", F.col("ahead") + F.col("within")).drop("run", "ahead", "within")
 
-    The points of as many slots as all sources need are mapped through the cumulated needs.  A source's share of them is off by
-    at most about log2(slots); what is missing is put at the end of the schedule, what is over goes.
-    """
-    edged = _running(sources.withColumn("__all", F.lit(0)), ["__all"], ["number"], "need", "low")
-    slots = sources.agg(F.sum("need")).first()[0] or 0
-    width = F.lit(float(slots or 1))
-    share = edged.where("need > 0").select("number", (F.col("low") / width).alias("low"), ((F.col("low") + F.col("need")) / width).alias("high"))
-    # Both sides meet in cells of equal width, an equal join instead of a range join.
-    cells = F.lit(CELLS)
-    first, last = F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), cells - 1)
+
+def _slots_of(points: DataFrame, share: DataFrame, cells: int) -> DataFrame:
+    """(number, slot) of the points (slot, point) that fall to one of the sources in ``share`` (number, low, high on the line from 0 to 1)."""
+    # Both sides meet in cells of equal width, an equal join instead of a range join; a cell holds few edges of sources.
+    first, last = F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), F.lit(cells - 1))
     spread = share.withColumn("cell", F.explode(F.sequence(first, F.greatest(first, last))))
-    points = spark.range(slots).select(F.col("id").alias("slot"), _point(F.col("id")).alias("point")).withColumn(
-        "cell", F.floor(F.col("point") * cells))
     inside = (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))
-    placed = points.join(spread, "cell").where(inside).select("number", "slot", F.floor(F.col("slot") / RUN_SLOTS).alias("run"))
-    placed = cut_lineage(placed)
-    runs = placed.groupBy("number", "run").agg(F.count("*").alias("n"))
+    return points.withColumn("cell", F.floor(F.col("point") * cells)).join(spread, "cell").where(inside).select("number", "slot")
+
+
+def _schedule(spark: SparkSession, sources: DataFrame) -> DataFrame:
+    """(number, place, slot): the slots that fall to each source, ranked; a source takes them until it has as many as it needs.
+
+    As many points as all sources need are mapped through the cumulated needs.  A source's share of them is off by about log2(slots) at
+    most, so some are still short; the sequence goes on for these alone.  Any stretch of the line of length x holds a dyadic one of
+    x / 4, which is met once in 4 / x points: after four times the needed number no source is short.
+    """
+    needed, count = sources.agg(F.sum("need"), F.count("*")).first()
+    needed, cells = needed or 0, max(CELLS, 1 << (4 * count).bit_length())
+    width = F.lit(float(needed or 1))
+    share = cut_lineage(_edged(sources).where("need > 0").select(
+        "number", "need", (F.col("low") / width).alias("low"), ((F.col("low") + F.col("need")) / width).alias("high")))
+
+    def points(start: int, end: int) -> DataFrame:
+        return spark.range(start, end).select(F.col("id").alias("slot"), _point(F.col("id")).alias("point"))
+
+    found = cut_lineage(_slots_of(points(0, needed), share.drop("need"), cells))
+    have = found.groupBy("number").agg(F.count("*").alias("have"))
+    short = cut_lineage(share.join(have, "number", "left").where(F.coalesce("have", F.lit(0)) < F.col("need")).drop("need", "have"))
+    every = cut_lineage(found.unionByName(_slots_of(points(needed, 4 * needed), short, cells)).withColumn("run", F.floor(F.col("slot") / RUN_SLOTS)))
+    runs = every.groupBy("number", "run").agg(F.count("*").alias("n"))
     ahead = _running(runs, ["number"], ["run"], "n", "ahead").drop("n")
     within = F.row_number().over(Window.partitionBy("number", "run").orderBy("slot")) - 1
-    ranked = placed.withColumn("within", within).join(ahead, ["number", "run"]).select("number", (F.col("ahead") + F.col("within")).alias("place"))
-    have = runs.groupBy("number").agg(F.sum("n").alias("have"))
-    short = sources.select("number", "need").join(have, "number", "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < need")
-    added = short.select("number", F.explode(F.sequence(F.col("have"), F.col("need") - 1)).alias("place"))
-    return ranked.unionByName(added)
+    ranked = every.withColumn("within", within).join(ahead, ["number", "run"])
+    return ranked.select("number", (F.col("ahead") + F.col("within")).alias("place"), "slot")
 
 
 def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row of ``docs``, and its columns ``keep`` (of names of their own)."""
+    """doc_id, size, source_size, target, taken and first_slot of every row of ``docs``, and its columns ``keep`` (of names of their own).
+
+    ``first_slot`` is where a document first stands in the mix, null if it is not taken: in that order any stretch of the mix holds the sources in their shares.
+    """
     spark = docs.sparkSession
-    content = F.xxhash64("doc_id", F.lit("shuffle"))
-    sizes = cut_lineage(docs.select("doc_id", *keep, F.col(source).alias("source"), word_count(text).alias("size")).withColumn("shuffled", content))
+    # The text tells apart rows without id or of one id.
+    content = F.xxhash64("doc_id", text, F.lit("shuffle"))
+    sizes = cut_lineage(docs.select("doc_id", *keep, F.col(source).alias("source"), word_count(text).alias("size"), content.alias("shuffled")))
     # A source's goal in whole words, and how many slots reach it: whole passes over its blocks, then the blocks of the rest.
     goal, rest = F.round("target").cast("long"), F.col("goal") % F.greatest("source_size", F.lit(1))
     passes = F.floor(F.col("goal") / F.greatest("source_size", F.lit(1))) * F.col("blocks")
@@ -161,15 +181,17 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", kee
     width = _edge(F.col("block") + 1) - _edge(F.col("block"))
     used = slots.withColumn("words", F.least(width, F.col("goal") - start)).where("words > 0")
     takes = used.groupBy("number", "block").agg(
-        F.count_if(F.col("words") == width).alias("whole"), F.coalesce(F.max(F.when(F.col("words") < width, F.col("words"))), F.lit(0)).alias("cut"))
+        F.count_if(F.col("words") == width).alias("whole"), F.min(F.when(F.col("words") == width, F.col("slot"))).alias("whole_slot"),
+        F.min(F.when(F.col("words") < width, F.col("slot"))).alias("cut_slot"), F.coalesce(F.max(F.when(F.col("words") < width, F.col("words"))), F.lit(0)).alias("cut"))
     taken = F.col("whole") * (F.col("to") - F.col("from")) + F.greatest(
         F.least(F.col("to"), F.col("base") + F.col("cut")) - F.col("from"), F.lit(0))
+    reached = F.when(F.col("from") < F.col("base") + F.col("cut"), F.col("cut_slot"))
     return (
         pieces.join(takes, ["number", "block"], "left")
-        .withColumn("words", F.coalesce(taken, F.lit(0)))
+        .withColumns({"words": F.coalesce(taken, F.lit(0)), "slot": F.when(F.col("to") > F.col("from"), F.least("whole_slot", reached))})
         .groupBy("number", "part", "nth").agg(
             F.first("doc_id").alias("doc_id"), *[F.first(name).alias(name) for name in keep], F.first("size").alias("size"), F.first("source_size").alias("source_size"),
-            F.first("target").alias("target"), F.sum("words").cast("long").alias("taken"))
+            F.first("target").alias("target"), F.sum("words").cast("long").alias("taken"), F.min("slot").alias("first_slot"))
         .drop("number", "part", "nth")
     )
 

@@ -153,4 +153,94 @@ def test_mixing_meets_its_targets(spark, tmp_path):
 
 def test_mixing_without_words(spark):
     assert mix_sources(documents(spark, [])).collect() == []
-    assert [tuple(r) for r in mix_sources(documents(spark, [(1, None, None), (2, " ", "a")])).orderBy("doc_id").collect()] == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
+    assert [tuple(r) for r in mix_sources(documents(spark, [(1, None, None), (2, " ", "a")])).orderBy("doc_id").collect()] == [(1, 0, 0, 0.0, 0, None), (2, 0, 0, 0.0, 0, None)]
+
+
+def test_published_licences_are_found_whole(spark):
+    from pathlib import Path
+
+    from homelake.llm import licenses
+
+    folder = Path(licenses.__file__).with_name("texts")
+    names = sorted(path.stem for path in folder.glob("*.txt"))
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} == set(names)
+    texts = [(folder / f"{name}.txt").read_text() for name in names]
+    # As printed elsewhere: other case, line breaks and marks, another holder.
+    docs = [(i, text) for i, text in enumerate(texts)] + [(100 + i, "# " + re.sub(r"\s*\n\s*", "\n# ", text.upper()).replace("LICENSE", "licence")) for i, text in enumerate(texts)]
+    docs += [(200, texts[names.index("BSD-3-Clause")].replace("[year], [fullname]", "2020 Jane Doe and others")), (201, texts[0] + "\nAnd more.")]
+    found = {r["doc_id"]: r["license"] for r in scan_licenses(documents(spark, docs), known_licenses(spark)).collect()}
+    assert [found[i] for i in range(len(names))] == names
+    assert [found[100 + i] for i in range(len(names))] == names
+    assert found[200] == "BSD-3-Clause" and found[201] is None
+
+
+def test_long_runs_of_line_ends_take_linear_time(spark):
+    import time
+
+    docs = documents(spark, [(1, "\n" * 200_000 + "Licensed under the MIT License."), (2, "\n # " * 50_000), (3, " " * 200_000 + "x")])
+    start = time.perf_counter()
+    found = {r["doc_id"]: r["notices"] for r in scan_licenses(docs, known_licenses(spark)).collect()}
+    assert found == {1: ["MIT"], 2: [], 3: []} and time.perf_counter() - start < 30
+
+
+def test_two_names_of_one_digest(spark):
+    known = known_licenses(spark, [("B", "Some Text."), ("A", "some text"), ("C", "")])
+    assert [tuple(r)[1] for r in known.collect()] == ["A"]
+
+
+def van_der_corput(n):
+    return int(f"{n:048b}"[::-1], 2) / 2**48
+
+
+def plain_mix(rows, point):
+    """taken and first_slot per document, word by word; rows are (doc_id, size, source) in shuffled order."""
+    sizes = defaultdict(int)
+    for _, size, source in rows:
+        sizes[source] += size
+    target = shares(sizes)
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    blocks, goal, need = {}, {}, {}
+    for s in names:
+        n = max(1, -(-sizes[s] // 256))
+        short, longer = max(sizes[s] // n, 1), sizes[s] % n
+        edges = [b * short + min(b, longer) for b in range(n + 1)]
+        blocks[s] = list(zip(edges, edges[1:]))
+        goal[s] = int(target[s] + 0.5)
+        whole, rest = divmod(goal[s], max(sizes[s], 1))
+        need[s] = whole * n + (next(i for i, (a, b) in enumerate(blocks[s]) if a <= rest - 1 < b) + 1 if rest else 0)
+    total, low, line = sum(need.values()), 0, []
+    for s in names:
+        line.append((low / total, (low + need[s]) / total, s))
+        low += need[s]
+    words = {s: [i for i, (_, size, source) in enumerate(rows) if source == s for _ in range(size)] for s in names}
+    taken, first, have, left = defaultdict(int), {}, defaultdict(int), dict(goal)
+    for slot in range(4 * total):
+        s = next(s for a, b, s in line if a <= point(slot) < b)
+        if have[s] >= need[s]:
+            continue
+        a, b = blocks[s][have[s] % len(blocks[s])]
+        have[s] += 1
+        for i in words[s][a:b][: left[s]]:
+            taken[i] += 1
+            first.setdefault(i, slot)
+        left[s] -= min(left[s], b - a)
+    assert not any(left.values())
+    return sorted((rows[i][0], taken[i], first.get(i)) for i in range(len(rows)))
+
+
+def test_the_mix_is_what_the_sequence_says(spark, monkeypatch):
+    from homelake.llm import mixing
+
+    rng = random.Random(9)
+    docs = documents(spark, [(i, "w " * rng.randrange(400), rng.choice("aaab") if i % 9 else "tiny" if i % 2 else "b") for i in range(300)])
+    order = docs.select("doc_id", "source", "text", F.xxhash64("doc_id", "text", F.lit("shuffle")).alias("h")).orderBy("h").collect()
+    rows = [(r["doc_id"], len(r["text"].split()), r["source"]) for r in order]
+    found = sorted((r["doc_id"], r["taken"], r["first_slot"]) for r in mix_sources(docs).collect())
+    assert [f[1:] for f in found] == [w[1:] for w in plain_mix(rows, van_der_corput)]
+    # Another sequence gives another mix, and one that misses sources does not reach their targets.
+    golden = 0.6180339887498949
+    monkeypatch.setattr(mixing, "_point", lambda slot: F.pmod(slot * F.lit(golden), F.lit(1.0)))
+    other = sorted((r["doc_id"], r["taken"], r["first_slot"]) for r in mix_sources(docs).collect())
+    assert other == plain_mix(rows, lambda n: n * golden % 1.0) and other != found
+    monkeypatch.setattr(mixing, "_point", lambda slot: F.lit(0.5))
+    assert sum(r["taken"] for r in mix_sources(docs).collect()) < sum(f[1] for f in found)
