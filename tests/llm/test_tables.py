@@ -244,3 +244,29 @@ def test_the_mix_is_what_the_sequence_says(spark, monkeypatch):
     assert other == plain_mix(rows, lambda n: n * golden % 1.0) and other != found
     monkeypatch.setattr(mixing, "_point", lambda slot: F.lit(0.5))
     assert sum(r["taken"] for r in mix_sources(docs).collect()) < sum(f[1] for f in found)
+
+
+def test_top_k_of_large_components_and_repeated_ids(spark, tmp_path, monkeypatch):
+    import math
+
+    monkeypatch.setattr("homelake.llm.top_k.SEED_ROWS", 3)
+    rng = random.Random(4)
+    rows = [(i % 130, [rng.choice([1.0, -1.0, 0.5]) * 10 ** rng.choice([0, 3, 6, 7, 9]) for _ in range(4)]) for i in range(260)]
+    rows += [(200, [1e7, 0.0, 0.0, 0.0]), (201, [1.0] * 4), (300, [9e5] * 64), (301, [9e5] * 64), (302, [1e30] * 64), (303, [-1e30] * 64), (304, [0.25] * 64)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in op3_top_k(spark, write_tables(spark, tmp_path, embeddings=table)).collect()]
+    most = 2**63 - 1
+
+    def whole(x):
+        return math.floor(max(min(1024 * x, 9.2e18), -9.2e18))
+
+    vectors = [(i, [whole(x) for x in v]) for i, v in rows]
+    expected = []
+    for q, (query_id, vector) in enumerate(vectors):
+        if query_id % 100:
+            continue
+        scored = sorted((-max(min(sum(a * b for a, b in zip(vector, other)), most), -most - 1), i)
+                        for p, (i, other) in enumerate(vectors) if p != q and len(other) == len(vector))[:10]
+        expected += [(query_id, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    assert sorted(found) == sorted(expected)
+    assert (300, 1, 302, most) in found and max(s for *_, s in found) == most
