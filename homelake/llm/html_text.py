@@ -2,8 +2,8 @@
 
 Every paragraph passes points for its length and commas to its ancestors, halved with each level; a container's points are discounted by
 its share of link text.  The best container is kept together with siblings that score well, and the text blocks of what is kept are
-returned in page order.  On a page without article or main the best container may be one section of it, so whatever has few links
-stays beside it and beside the containers around it, whatever its length.  Menus, adverts, notices, forms, comments and the like take no part.  Classes and ids that name such parts do not
+returned in page order.  On a page without article or main the best container may be one section of it, so beside it and beside the containers
+around it single paragraphs, headings and list items with few links stay, and containers of few links from ``LEAST_POINTS`` on.  Menus, adverts, notices, forms, comments and the like take no part.  Classes and ids that name such parts do not
 count on a wrapper of the article, on an element that is named content as well, nor where the page would end empty.
 
 Pages are rows of a DataFrame and parsed where they lie; nothing is shuffled.  Defined results: a null or empty page, or one without
@@ -72,6 +72,8 @@ _NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _COMMA = re.compile("[,،、，]")
 # A sibling stays if it scores this share of the best container.
 SIBLING_SHARE = 0.2
+# Beside the best container and around it, a container stays from so many points on: one paragraph of 30 characters, or a comma, or two paragraphs.
+LEAST_POINTS = 1.3
 # Text with a smaller share of link text is prose.
 LINK_DENSITY = 0.25
 
@@ -251,6 +253,11 @@ def _parse(page: str) -> _Tree:
     return tree
 
 
+def paragraph_points(text: str) -> float:
+    """One for being a paragraph, one per comma, and up to three for its length."""
+    return 1 + len(_COMMA.findall(text)) + min(len(text) / 100, 3.0)
+
+
 def main_text(page: str | None) -> str:
     """Text blocks of the best container and its good siblings, one per line."""
     if not page:
@@ -259,7 +266,7 @@ def main_text(page: str | None) -> str:
     blocks, count = tree.blocks(), len(tree.tag)
     points, size, links = [0.0] * count, [0] * count, [0] * count
     for node, text, linked in blocks:
-        worth = 0.0 if tree.tag[node] in HEADINGS else 1 + len(_COMMA.findall(text)) + min(len(text) / 100, 3.0)
+        worth = 0.0 if tree.tag[node] in HEADINGS else paragraph_points(text)
         share, at, first = 1.0, node, True
         while True:
             size[at] += len(text)
@@ -290,7 +297,7 @@ def main_text(page: str | None) -> str:
             if not size[at] or at in around or up != tree.parent[best] and up not in around:
                 continue
             density = links[at] / size[at]
-            if up in around and density < LINK_DENSITY:
+            if up in around and density < LINK_DENSITY and (tree.tag[at] in LEAVES or worth[at] >= LEAST_POINTS):
                 kept.add(at)
             if up != tree.parent[best]:
                 continue
@@ -300,7 +307,7 @@ def main_text(page: str | None) -> str:
                 kept.add(at)
     lines = []
     for node, text, linked in blocks:
-        own = node in around and linked < LINK_DENSITY * len(text)
+        own = node in around and linked < LINK_DENSITY * len(text) and paragraph_points(text) >= LEAST_POINTS
         while node not in kept and node:
             node = tree.parent[node]
         if own or node in kept:

@@ -269,4 +269,4 @@ def test_top_k_of_large_components_and_repeated_ids(spark, tmp_path, monkeypatch
                         for p, (i, other) in enumerate(vectors) if p != q and len(other) == len(vector))[:10]
         expected += [(query_id, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
     assert sorted(found) == sorted(expected)
-    assert (300, 1, 302, most) in found and max(s for *_, s in found) == most
+    assert (300, 1, 301, most) in found and max(s for *_, s in found) == most

@@ -60,6 +60,33 @@ def test_sections_of_a_page_without_article_stay(page, text):
     assert main_text(page) == text
 
 
+BODY = "<div><p>" + "</p><p>".join(f"Paragraph {i}, which has some length, and commas." for i in range(8)) + "</p></div>"
+BODY_TEXT = "\n".join(f"Paragraph {i}, which has some length, and commas." for i in range(8))
+
+
+@pytest.mark.parametrize("before, after, text", [
+    ('<div class="col-left"><p>Weather 12 degrees</p></div>', '<div class="bottom">Imprint of Site</div>', BODY_TEXT),
+    ('<div class="x1"><p>A lead paragraph, as long as such ones are.</p></div>', '<div class="x2"><h2>More</h2><p>A last section of forty characters or more.</p></div>',
+     "A lead paragraph, as long as such ones are.\n" + BODY_TEXT + "\nMore\nA last section of forty characters or more."),
+    ("<p>Short.</p>", "<ul><li>one</li><li>two</li></ul>", "Short.\n" + BODY_TEXT + "\none\ntwo"),
+    ("", '<div class="x3"><p><a href="/">A link, and another, and one more to follow</a></p></div>', BODY_TEXT),
+])
+def test_only_the_score_tells_what_stays_beside_the_best_container(page_of, before, after, text):
+    assert main_text(page_of(before + BODY + after)) == text
+
+
+def test_without_points_the_same_pages_lose_their_sections(monkeypatch, page_of):
+    page = page_of('<div class="x1"><p>A lead paragraph, as long as such ones are.</p></div>' + BODY)
+    assert main_text(page).startswith("A lead")
+    monkeypatch.setattr("homelake.llm.html_text.paragraph_points", lambda text: 0.0)
+    assert not main_text(page).startswith("A lead")
+
+
+@pytest.fixture()
+def page_of():
+    return lambda content: f"<html><body><div id='wrap'>{content}</div></body></html>"
+
+
 def test_html_query_keeps_every_row(spark, tmp_path):
     rows = [(i, "u", page) for i, (page, _) in enumerate(PAGES)] + [(0, None, None), (50, "u", "<article>" + "<p>word, word</p>" * 20000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "1 AS __other")
