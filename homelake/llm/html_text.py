@@ -35,6 +35,7 @@ BLOCKS = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEAVES = frozenset("p pre blockquote li td th dd dt figcaption h1 h2 h3 h4 h5 h6".split())
+LISTS = frozenset("ul ol dl table".split())
 SEMANTIC = frozenset(("article", "main"))
 NEVER_DROPPED = frozenset(("html", "body", "article", "main"))
 # Ids of these are link targets made from a heading's words, not names of page parts.
@@ -297,7 +298,7 @@ def main_text(page: str | None) -> str:
             if not size[at] or at in around or up != tree.parent[best] and up not in around:
                 continue
             density = links[at] / size[at]
-            if up in around and density < LINK_DENSITY and (tree.tag[at] in LEAVES or worth[at] >= LEAST_POINTS):
+            if up in around and density < LINK_DENSITY and (tree.tag[at] in LEAVES | LISTS or worth[at] >= LEAST_POINTS):
                 kept.add(at)
             if up != tree.parent[best]:
                 continue
