@@ -3,7 +3,7 @@
 Every paragraph passes points for its length and commas to its ancestors, halved with each level; a container's points are discounted by
 its share of link text.  The best container is kept together with siblings that score well, and the text blocks of what is kept are
 returned in page order.  On a page without article or main the best container may be one section of it, so beside it and beside the containers
-around it single paragraphs, headings and list items with few links stay, and containers of few links from ``LEAST_POINTS`` on.  Menus, adverts, notices, forms, comments and the like take no part.  Classes and ids that name such parts do not
+around it single paragraphs, headings, lists and tables with few links stay, and containers of few links that hold a heading or have ``LEAST_POINTS``.  Menus, adverts, notices, forms, comments and the like take no part.  Classes and ids that name such parts do not
 count on a wrapper of the article, on an element that is named content as well, nor where the page would end empty.
 
 Pages are rows of a DataFrame and parsed where they lie; nothing is shuffled.  Defined results: a null or empty page, or one without
@@ -265,13 +265,14 @@ def main_text(page: str | None) -> str:
         return ""
     tree = _parse(page)
     blocks, count = tree.blocks(), len(tree.tag)
-    points, size, links = [0.0] * count, [0] * count, [0] * count
+    points, size, links, titled = [0.0] * count, [0] * count, [0] * count, [False] * count
     for node, text, linked in blocks:
         worth = 0.0 if tree.tag[node] in HEADINGS else paragraph_points(text)
         share, at, first = 1.0, node, True
         while True:
             size[at] += len(text)
             links[at] += linked
+            titled[at] = titled[at] or tree.tag[node] in HEADINGS
             if not (first and tree.tag[node] in LEAVES):
                 points[at] += worth * share
                 share /= 2
@@ -298,7 +299,7 @@ def main_text(page: str | None) -> str:
             if not size[at] or at in around or up != tree.parent[best] and up not in around:
                 continue
             density = links[at] / size[at]
-            if up in around and density < LINK_DENSITY and (tree.tag[at] in LEAVES | LISTS or worth[at] >= LEAST_POINTS):
+            if up in around and density < LINK_DENSITY and (tree.tag[at] in LEAVES | LISTS or titled[at] or worth[at] >= LEAST_POINTS):
                 kept.add(at)
             if up != tree.parent[best]:
                 continue
@@ -308,7 +309,7 @@ def main_text(page: str | None) -> str:
                 kept.add(at)
     lines = []
     for node, text, linked in blocks:
-        own = node in around and linked < LINK_DENSITY * len(text) and paragraph_points(text) >= LEAST_POINTS
+        own = node in around and linked < LINK_DENSITY * len(text)
         while node not in kept and node:
             node = tree.parent[node]
         if own or node in kept:

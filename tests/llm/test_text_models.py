@@ -75,10 +75,10 @@ def test_only_the_score_tells_what_stays_beside_the_best_container(page_of, befo
     assert main_text(page_of(before + BODY + after)) == text
 
 
-def test_without_points_the_same_pages_lose_their_sections(monkeypatch, page_of):
+def test_without_points_for_length_and_commas_a_page_loses_its_lead(monkeypatch, page_of):
     page = page_of('<div class="x1"><p>A lead paragraph, as long as such ones are.</p></div>' + BODY)
     assert main_text(page).startswith("A lead")
-    monkeypatch.setattr("homelake.llm.html_text.paragraph_points", lambda text: 0.0)
+    monkeypatch.setattr("homelake.llm.html_text.paragraph_points", lambda text: 1.0)
     assert not main_text(page).startswith("A lead")
 
 
