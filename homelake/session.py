@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from uuid import uuid4
 
@@ -46,9 +48,19 @@ def shared_folder(spark: SparkSession) -> str:
     return named or _own_folder()
 
 
-def remove_stored(spark: SparkSession) -> None:
-    """Delete the tables that :func:`cut_lineage` stored; for the end of a job, when nothing reads them any more."""
-    while _STORED:
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, the tables that :func:`cut_lineage` stored in it; for a block that also reads its results."""
+    before = len(_STORED)
+    try:
+        yield
+    finally:
+        remove_stored(spark, before)
+
+
+def remove_stored(spark: SparkSession, before: int = 0) -> None:
+    """Delete the tables that :func:`cut_lineage` stored, but for the first ``before``; for the end of a job, when nothing reads them any more."""
+    while len(_STORED) > before:
         path = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -62,3 +74,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_result(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """Store what ``build`` returns and delete the tables that were stored on the way to it."""
+    before = len(_STORED)
+    result = cut_lineage(build())
+    kept = _STORED.pop()
+    remove_stored(spark, before)
+    _STORED.append(kept)
+    return result
