@@ -17,6 +17,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def drawn(key: Column, wanted: int, rows: int) -> Column:
+    """Whether a row belongs to a sample of about ``wanted`` of ``rows`` rows, by the hash of its key; the share is as fine as 63 bits."""
+    share = min(1.0, wanted / max(1, rows))
+    return F.shiftrightunsigned(F.xxhash64(key, F.lit("drawn")), 1) <= min(int(share * 2.0**63), 2**63 - 1)
+
+
 def placed(df: DataFrame, group: str, order: list[str], number: str = "number", place: str = "place", size: str = "rows") -> DataFrame:
     """Stored rows of ``df`` with the rank of their group by its value (nulls first), their place in it by ``order`` (both from 0) and its rows.
 

@@ -6,7 +6,7 @@ the number of an item's terms (Cauchy-Schwarz).
 
 1. Texts are scanned once where they lie; what is stored is their number of terms and the counts of item terms.
 2. Counts over the corpus give weights; vectors are laid out by length, longest first, as a range-partitioned table.
-3. A bounded sample (the longest vectors and the smallest hashes, ``SEED_ROWS`` of each) gives every item a first bound: its k-th best score there.
+3. A sample of about ``SEED_ROWS`` vectors, by the hash of their ids, gives every item a first bound: its k-th best score there.
 4. Each task reads a run of lengths in buckets of ``BUCKET_ROWS``.  A bucket whose longest vector cannot reach an item's bound is skipped for
    it, and if that holds for every item, so is what follows.  Inside, the largest impact of each coordinate in the bucket tells which terms a document must hold
    at least one of; documents found there stay if what they have and the most that is left reach the bound.  Survivors
@@ -29,11 +29,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from homelake.llm.common import table
+from homelake.llm.common import drawn, table
 from homelake.session import cut_lineage
 
 BLOCK_TERMS = 500_000
-SEED_ROWS = 2_048
+SEED_ROWS = 4_096
 BUCKET_ROWS = 4_096
 _NO_TERM = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -186,9 +186,8 @@ def _search(laid_out: DataFrame, items: list[tuple[str, np.ndarray]], bounds: np
 
 def _first_bounds(laid_out: DataFrame, items: list[tuple[str, np.ndarray]], k: int) -> np.ndarray:
     """k-th best score of every item among the seed rows, 1 where these hold fewer."""
-    longest = laid_out.orderBy(F.desc("norm"), "doc_id").limit(SEED_ROWS)
-    any_rows = laid_out.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SEED_ROWS)
-    seeds = longest.unionByName(any_rows).dropDuplicates(["doc_id"]).repartition(1).sortWithinPartitions(F.desc("norm"))
+    few = laid_out.where(drawn(F.col("doc_id"), SEED_ROWS, laid_out.count())).dropDuplicates(["doc_id"])
+    seeds = few.repartition(1).sortWithinPartitions(F.desc("norm"))
     found = _search(seeds, items, np.ones(len(items), dtype=np.int64), k)
     full = found.groupBy("item_id").agg(F.count("*").alias("n"), F.min("score").alias("bound")).where(F.col("n") >= k)
     known = {row["item_id"]: row["bound"] for row in full.collect()}

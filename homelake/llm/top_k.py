@@ -7,7 +7,7 @@ cosine reaches it must lie in a narrow interval in the query's largest coordinat
 enough stay.  What is left is verified by exact integer products, so no pair is lost.
 
 Queries are a stated set; they go to the executors in blocks of at most ``QUERY_BLOCK`` (2 MB at 64 dimensions) and meet all vectors where these
-lie.  A bounded sample (the longest vectors and the smallest hashes, ``SEED_ROWS`` of each) gives every query a first bound, so a task
+lie.  A sample of about ``SEED_ROWS`` vectors by the hash of their row number gives every query a first bound, so a task
 returns few rows; at most k rows per query and task meet in the last ranking.
 
 Products are computed in 64 bits where dimension x largest component x largest component stays below 2**63, else, for those rows alone, in
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from homelake.llm.common import table
+from homelake.llm.common import drawn, table
 from homelake.session import cut_lineage
 
 QUERY_BLOCK = 4_096
@@ -173,8 +173,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     spark = vectors.sparkSession
     blocks = max(1, ceil(queries.count() / QUERY_BLOCK))
     queries = queries.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
-    longest = vectors.orderBy(F.desc("norm"), "row").limit(SEED_ROWS)
-    seeds = longest.unionByName(vectors.orderBy(F.xxhash64("row"), "row").limit(SEED_ROWS)).dropDuplicates(["row"]).toPandas()
+    seeds = vectors.where(drawn(F.col("row"), SEED_ROWS, vectors.count())).toPandas()
     schema = "query_row long, query_id long, vec_id long, score long"
     every = spark.createDataFrame([], schema)
     for block in range(blocks):

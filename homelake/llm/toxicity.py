@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homelake.llm.common import held_out, table
+from homelake.llm.common import drawn, held_out, table
 
 POSITIVES = 4_000
 UNLABELLED = 12_000
@@ -149,11 +149,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text") -> Toxi
     if not counts["toxic"] or not rows or prior == 1.0:
         return nothing
     confirmed = labelled.where("toxic").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(POSITIVES)
-    share = min(1.0, UNLABELLED / rows)
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1_000_000)) < int(np.ceil(share * 1_000_000)))
+    others = known.where(drawn(F.col("doc_id"), UNLABELLED, rows))
     sample = (
         _featured(known.join(F.broadcast(confirmed), "doc_id"), text).withColumn("positive", F.lit(True))
-        .unionByName(_featured(drawn, text).withColumn("positive", F.lit(False)))
+        .unionByName(_featured(others, text).withColumn("positive", F.lit(False)))
         .dropDuplicates(["doc_id", "positive"])
         .toPandas().sort_values(["positive", "doc_id"], ignore_index=True)
     )

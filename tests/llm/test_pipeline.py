@@ -56,6 +56,66 @@ def test_run_gives_the_last_stage(spark, folder):
     assert len(rows) == len(set(rows)) > 150 and not {1000, 1001, 1002} & set(rows)
 
 
+def plain_chain(rows, toxic, items):
+    """Kept (doc_id, text) before the mix by comparing everything with everything, given the rows that are toxic."""
+    from tests.llm.helpers import base_pii, shingle_set
+
+    rows = [row for row in rows if row not in toxic]
+    sets = [shingle_set(text) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] & sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                root[top(i)] = top(j)
+    groups = {}
+    for i, (doc_id, _) in enumerate(rows):
+        groups.setdefault(top(i), []).append((doc_id is None, doc_id or 0, i))
+    rows = [rows[min(members)[2]] for members in groups.values()]
+    windows = {tuple(words[i : i + 10]) for words in map(str.split, items) for i in range(max(1, len(words) - 9))}
+    rows = [(i, t) for i, t in rows if not any(tuple((t or "").split()[a : a + 10]) in windows for a in range(len((t or "").split())))]
+    out = []
+    for doc_id, text in rows:
+        for span in reversed([s for s in base_pii(text).split(",") if s]):
+            kind, start, end = span.split(":")
+            text = text[: int(start)] + f"[{kind.upper()}]" + text[int(end) :]
+        out.append((doc_id, text))
+    return sorted(out, key=repr)
+
+
+def test_the_chain_matches_its_plain_version(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    item = " ".join(prose("item", 30))
+    # Unlike texts under one id, and copies of each other under several.
+    more = documents(spark, [(5, " ".join(prose("five")), "s0"), (7, " ".join(prose("five")), "s1"), (None, " ".join(prose("five")), "s1"), (9, "", "s2")])
+    docs = cut_lineage(docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(more))
+    every = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = cut_lineage(stage(spark, out, folder))
+        if name == "toxicity":
+            kept = [(r["doc_id"], r["text"]) for r in out.collect()]
+    toxic = {row for row in every if row not in kept}
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == plain_chain(every, toxic, [item])
+
+
+def test_a_run_leaves_nothing_behind(spark, folder, tmp_path, monkeypatch):
+    import os
+
+    from homelake import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    with session.work_tables(spark):
+        rows = corpus_pipeline.run(spark, folder)
+        assert rows.count() > 150 and os.listdir(tmp_path)
+    assert os.listdir(tmp_path) == []
+
+
 def test_empty_corpus(spark, folder, tmp_path):
     tables = {name: spark.read.parquet(f"{folder}/{name}.parquet").limit(0) for name in ("documents", "labels", "benchmark")}
     assert corpus_pipeline.run(spark, write_tables(spark, tmp_path, **tables)).collect() == []
