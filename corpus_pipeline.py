@@ -15,7 +15,7 @@ from homelake.llm.mixing import mix_sources
 from homelake.llm.near_dedup import near_duplicates
 from homelake.llm.pii import redact_documents
 from homelake.llm.toxicity import fit_on_training_folds, score_toxicity
-from homelake.session import cut_lineage
+from homelake.session import cut_lineage, stage_result
 
 # Least similarity of near-duplicates, in percent.
 SIMILARITY = 80
@@ -28,15 +28,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group; one row of an id that several rows carry; rows without id stay."""
-    found = cut_lineage(near_duplicates(docs.select("doc_id", "text"), percent=SIMILARITY))
-    ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
-    left = docs.join(ids.where("not kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-    repeated = cut_lineage(ids.where("kept and rows > 1").select("doc_id"))
-    if repeated.isEmpty():
-        return left
-    first = left.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(first)
+    """One row of each group of near copies, that of smallest id (rows without id last); every row is judged by its own text, whatever ids it shares."""
+    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text"), percent=SIMILARITY)
+    groups = cut_lineage(found.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")))
+    several = groups.groupBy("__group").agg(F.count("*").alias("__rows")).where("__rows > 1").select("__group")
+    members = cut_lineage(groups.join(several, "__group").join(numbered.select("__row", "doc_id"), "__row"))
+    first = members.groupBy("__group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("__first"))
+    others = members.join(first, "__group").where(F.col("__row") != F.col("__first.__row")).select("__row")
+    return numbered.join(others, "__row", "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the mix takes, with size, source_size, target and taken words (repeats counted)."""
-    new = ("size", "source_size", "target", "taken")
+    """Documents the mix takes, with size, source_size, target, taken words (repeats counted) and their first slot in the mix."""
+    new = ("size", "source_size", "target", "taken", "first_slot")
     numbered = cut_lineage(docs.drop(*new).withColumn("__row", F.monotonically_increasing_id()))
     mixed = mix_sources(numbered.select("__row", "doc_id", "source", "text"), keep=("__row",)).where("taken > 0")
     return numbered.join(mixed.select("__row", *new), "__row").drop("__row")
@@ -67,14 +67,13 @@ STAGES = [
     ("mix", mix),
 ]
 
-# The stages train classifiers and walk graphs, which SQL cannot express; tests compare them with brute-force versions.
+# The stages train classifiers and walk graphs, which SQL cannot express; tests compare the chain with a plain version, given the classifiers' decisions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for at, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if at + 1 < len(STAGES):
-            docs = cut_lineage(docs)
+        last = at + 1 == len(STAGES)
+        docs = stage(spark, docs, sf_dir) if last else stage_result(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return docs
