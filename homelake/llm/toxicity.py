@@ -149,7 +149,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text") -> Toxi
     if not counts["toxic"] or not rows or prior == 1.0:
         return nothing
     confirmed = labelled.where("toxic").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(POSITIVES)
-    others = known.where(drawn(F.col("doc_id"), UNLABELLED, rows))
+    # A share in millionths, rounded up, and of these what makes it exact: about UNLABELLED rows at any size.
+    millionths = int(np.ceil(min(1.0, UNLABELLED / rows) * 1_000_000))
+    coarse = F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1_000_000)) < millionths
+    others = known.where(coarse & drawn(F.col("doc_id"), UNLABELLED, rows * millionths // 1_000_000))
     sample = (
         _featured(known.join(F.broadcast(confirmed), "doc_id"), text).withColumn("positive", F.lit(True))
         .unionByName(_featured(others, text).withColumn("positive", F.lit(False)))
