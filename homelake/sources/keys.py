@@ -1,7 +1,8 @@
 """Key tables: the keys handled so far, hash-bucketed and sorted, next to the data they come from.
 
 ``<folder>/hashed_<n>`` is a Parquet table of one column in n hash buckets, each file sorted by key and with a Bloom filter per row group.  A join on
-the key reads it bucket by bucket, so the history is never shuffled; a filter on a list of keys reads only their buckets, and of those
+the key reads it bucket by bucket, so the history is not shuffled (as long as it has at least as many buckets as the session's shuffles start with
+partitions, else Spark prefers to shuffle both sides; a new table takes that number, ``BUCKETS`` at least); a filter on a list of keys reads only their buckets, and of those
 only row groups whose range and Bloom filter may hold one.
 
 Keys are added as one file per bucket.  A key may stand there twice (a step was repeated after a failure), which changes no comparison.  Buckets of many files
@@ -49,20 +50,26 @@ def _declared(spark: SparkSession, location: str, key: str, buckets: int) -> str
     return name
 
 
-def _opened(spark: SparkSession, folder: str, key: str, buckets: int = BUCKETS) -> tuple[str, str, int]:
+def _shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions this session's shuffles start with."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _opened(spark: SparkSession, folder: str, key: str, buckets: int | None = None) -> tuple[str, str, int]:
     """(table name, its folder, number of buckets); the number a table was begun with stays."""
     begun = [found for path in list_files(spark, f"{folder.rstrip('/')}/hashed_*") if (found := re.fullmatch(r"hashed_(\d+)", path.rsplit("/", 1)[-1]))]
-    buckets = int(begun[0][1]) if begun else buckets
+    buckets = int(begun[0][1]) if begun else buckets or max(BUCKETS, _shuffle_partitions(spark))
     location = f"{folder.rstrip('/')}/hashed_{buckets}"
     return _declared(spark, location, key, buckets), location, buckets
 
 
-def stored_keys(spark: SparkSession, folder: str, key: str, buckets: int = BUCKETS) -> DataFrame:
+def stored_keys(spark: SparkSession, folder: str, key: str, buckets: int | None = None) -> DataFrame:
     """All keys of the table, repeated ones included."""
     return spark.table(_opened(spark, folder, key, buckets)[0])
 
 
-def add_keys(rows: DataFrame, folder: str, key: str, buckets: int = BUCKETS) -> None:
+def add_keys(rows: DataFrame, folder: str, key: str, buckets: int | None = None) -> None:
     """Add the distinct keys of ``rows``, and merge the files of buckets that have become many."""
     spark = rows.sparkSession
     name, _, buckets = _opened(spark, folder, key, buckets)
@@ -71,7 +78,7 @@ def add_keys(rows: DataFrame, folder: str, key: str, buckets: int = BUCKETS) ->
     compact_keys(spark, folder, key)
 
 
-def known_keys(spark: SparkSession, folder: str, key: str, asked: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def known_keys(spark: SparkSession, folder: str, key: str, asked: DataFrame, buckets: int | None = None) -> DataFrame:
     """Distinct keys of the table that are among ``asked`` (a column of keys, read twice)."""
     stored = stored_keys(spark, folder, key, buckets)
     few = [row[0] for row in asked.select(key).distinct().limit(PUSHED_KEYS + 1).collect()]

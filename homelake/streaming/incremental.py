@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from homelake.operators import new_rows
 from homelake.sources import add_keys, known_keys
-from homelake.sources.keys import BUCKETS
 
 BATCH = "batch_id"
 
@@ -28,7 +27,7 @@ def _open_target(spark: SparkSession, target_dir: str, schema: T.StructType) ->
     spark.createDataFrame([], schema).withColumn(BATCH, F.lit(-1).cast("long")).write.mode("ignore").parquet(_records(target_dir))
 
 
-def _append_unseen(batch: DataFrame, batch_id: int, target_dir: str, key: str, order_cols: list[str], buckets: int = BUCKETS) -> None:
+def _append_unseen(batch: DataFrame, batch_id: int, target_dir: str, key: str, order_cols: list[str], buckets: int | None = None) -> None:
     """Records first, then their keys.  A batch that is run again after a failure keeps what its first attempt left and adds what is missing:
     its records are told by their batch number, which each file holds one of, so only its own files are read."""
     spark, seen = batch.sparkSession, f"{target_dir.rstrip('/')}/seen"
@@ -54,7 +53,7 @@ def new_records_query(
     key: str,
     order_cols: list[str],
     max_files: int | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Start a query that handles all run files not handled before and then stops.
 

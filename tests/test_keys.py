@@ -56,12 +56,14 @@ def test_the_history_is_not_shuffled(spark, tmp_path, shuffles):
     batch = spark.range(0, 60_000, 3).select(F.col("id").cast("string"), F.lit(1).alias("at"))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if shuffles else before)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4")  # no more than buckets
     try:
         fresh = new_rows(batch, stored_keys(spark, folder, "id"), "id", ["at"], long_history=True)
         assert fresh.count() == 20_000 - 6_667
         plan = fresh._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     lines = plan.splitlines()
     scan = next(at for at, line in enumerate(lines) if "FileScan parquet" in line and ".keys_" in line)
     assert not shuffles or "Bucketed: true" in lines[scan]
