@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 
 from homelake import schemas
 from homelake.checks.common import Check, steadied, table
-from homelake.plans import features, gold, silver
+from homelake.plans import features, gold, silver, states
 from homelake.session import cut_lineage, shared_folder
 from homelake.sources import read_tables, write_table
+from homelake.sources.buckets import read_buckets
 from homelake.sources.readers import RUN_ID
 
 # ---- expressions both dialects read the same way -------------------------------------------------------------
@@ -429,7 +430,33 @@ def stored_layers(spark: SparkSession, sf: str) -> DataFrame:
     return steadied(result, *columns, digits=digits) if columns else result
 
 
+def _upserted(spark: SparkSession, sf: str) -> str:
+    """Folder of a listing table that two runs were brought into, one after the other; the second also brings older and repeated versions."""
+    folder = f"{shared_folder(spark)}/listings-{uuid4().hex}"
+    raw = raw_properties(spark, sf)
+    early = F.col("block_id").isin("1", "3", "5")
+    silver.upsert_listings(raw.where(early | (F.col("block_id") == "7")).withColumn(RUN_ID, F.lit("1")), folder, 8)
+    silver.upsert_listings(raw.where(~early).withColumn(RUN_ID, F.lit("2")), folder)
+    return folder
+
+
+def upserted_listings(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.current_listings(read_buckets(spark, _upserted(spark, sf)))
+
+
+def _merged_check(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        listings = _upserted(spark, sf)
+        states.refresh_states(spark, listings, f"{listings}-states", [name])
+        digits, *columns = _ROUNDED[name]
+        return steadied(states.merged_dashboard(spark, f"{listings}-states", name), *columns, digits=digits)
+
+    return run
+
+
 CHECKS = {
+    "q_upsert_listings": Check(upserted_listings, f"{SILVER} SELECT * FROM properties"),
+    **{f"q_merged_{name}": Check(_merged_check(name), SILVER + GOLD[name]) for name in states.NAMES},
     "q_stored_layers": Check(stored_layers, SILVER + GOLD["price_by_ward"]),
     **{f"silver_{name}": Check(_silver_check(name), f"{SILVER} SELECT * FROM {name}") for name in silver.TABLES},
     **{f"gold_{name}": Check(_gold_check(name), SILVER + sql) for name, sql in GOLD.items()},

@@ -15,6 +15,7 @@ from homelake.operators import (
     top_by,
     with_group_std,
 )
+from homelake.plans.silver import read_silver
 from homelake.sources import read_tables, write_table
 
 # Words, weights, codes and thresholds that define the features.
@@ -196,6 +197,6 @@ def feature_report(table: DataFrame) -> DataFrame:
 def write_features(spark: SparkSession, silver_dir: str, gold_dir: str, months: list[str] | None = None) -> None:
     """Write the feature table in order of its day text, and the report on the stored table."""
     names = ["properties", "projects", "project_amenities", "project_prices"]
-    table = features(read_tables(spark, silver_dir, names), months)
+    table = features(read_silver(spark, silver_dir, names), months)
     write_table(table.orderBy(F.desc_nulls_last("last_modified_date"), "id"), gold_dir, "features")
     write_table(feature_report(read_tables(spark, gold_dir, ["features"])["features"]), gold_dir, "features_sample")

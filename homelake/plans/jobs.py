@@ -16,9 +16,9 @@ import argparse
 from pyspark.sql import SparkSession
 
 from homelake.plans.features import write_features
-from homelake.plans.gold import write_gold
 from homelake.plans.ingest import ingest
 from homelake.plans.silver import write_silver
+from homelake.plans.states import write_gold
 from homelake.session import build_session, remove_stored, shared_folder
 from homelake.sources import read_tables
 
@@ -58,6 +58,7 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("responses-dir", "bronze-dir", "silver-dir", "gold-dir", "run-id", "work-dir"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--months", help="price columns of the feature table, comma-separated; looked up if not given")
+    parser.add_argument("--runs", help="run stamps, comma-separated: the silver job brings only their listings into the listing table it keeps")
     parser.add_argument("--shuffle-partitions", type=int)
     args = parser.parse_args(argv)
     missing = [name for name in NEEDED[args.job] if not getattr(args, name)]
@@ -69,7 +70,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.job == "ingest":
             print(run_ingest(spark, args.responses_dir, args.bronze_dir, args.run_id))
         elif args.job == "silver":
-            write_silver(spark, args.bronze_dir, args.silver_dir)
+            write_silver(spark, args.bronze_dir, args.silver_dir, args.runs.split(",") if args.runs else None)
         elif args.job == "gold":
             write_gold(spark, args.silver_dir, args.gold_dir)
         else:

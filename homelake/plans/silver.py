@@ -15,7 +15,9 @@ from homelake.operators import (
     project_spec,
     quality_items,
 )
-from homelake.sources import read_entity, run_glob, spread_order, with_run_id, write_table
+from homelake.session import cut_lineage
+from homelake.sources import read_entity, read_tables, run_glob, spread_order, with_run_id, write_table
+from homelake.sources.buckets import is_bucketed, read_buckets, remove_buckets, upsert_latest
 from homelake.sources.readers import RUN_ID
 
 
@@ -111,6 +113,10 @@ PRICE_COLUMNS = [
 ]
 TEXT_FIXES = {"High-quanlity": "High-quality", "High-Quanlity": "High-Quality"}
 PROJECT_PARENT = "PROJECT"
+NEEDED = ["min_selling_price", "min_area", "views"]
+# Columns of the bucketed listing table beside those of ``properties``.
+MODIFIED, ROW, COMPLETE = "version_modified", "version_row", "version_complete"
+LISTINGS = "listing_versions"
 
 AMENITY_COLUMNS = ("project_id", "amenity_id", "amenity_name", "amenity_code")
 TABLES = ["properties", "projects", "project_amenities", "subdivisions", "project_prices"]
@@ -122,14 +128,40 @@ def properties(raw: DataFrame) -> DataFrame:
     Order is by modification time, then by run; ``raw`` may carry the run stamp.  The versions are compared on the
     raw record, where the time is still a number.
     """
+    flat = project_spec(_newest_listings(raw), PROPERTY_COLUMNS).dropna(subset=NEEDED)
+    return _clean_texts(flat)
+
+
+def _newest_listings(raw: DataFrame) -> DataFrame:
     stamped = raw if RUN_ID in raw.columns else raw.withColumn(RUN_ID, F.lit(""))
     hashed = stamped.withColumn("__row", F.xxhash64(*raw.columns))
-    newest = latest_per_key(hashed, ["id"], ["last_modified_date", RUN_ID, "__row"])
-    flat = project_spec(newest, PROPERTY_COLUMNS).dropna(subset=["min_selling_price", "min_area", "views"])
+    return latest_per_key(hashed, ["id"], ["last_modified_date", RUN_ID, "__row"])
+
+
+def _clean_texts(flat: DataFrame) -> DataFrame:
     titled = flat.withColumn("project_name", title_case(trim_unicode(F.col("project_name"))))
     return with_view_category(fix_text(titled, TEXT_FIXES), "views", "views")
 
 
+def listing_versions(raw: DataFrame) -> DataFrame:
+    """Newest version of each listing with its place in the order of versions, complete or not: an incomplete version takes a listing out of the table."""
+    stamps = [Out(MODIFIED, source="last_modified_date"), Out(RUN_ID), Out(ROW, source="__row")]
+    flat = project_spec(_newest_listings(raw), [*PROPERTY_COLUMNS, *stamps])
+    known = F.col("min_selling_price").isNotNull() & ~F.isnan(F.coalesce("min_area", F.lit(float("nan")))) & F.col("views").isNotNull()
+    return _clean_texts(flat.withColumn(COMPLETE, known))
+
+
+def upsert_listings(raw: DataFrame, listings_dir: str, buckets: int | None = None) -> list[int]:
+    """Bring a run's records into the bucketed listing table; returns the buckets that were rewritten.  Runs may come in any order or again."""
+    # Stored first: filters above the long text expressions make Spark's constraint inference take minutes.
+    return upsert_latest(cut_lineage(listing_versions(raw)), listings_dir, ["id"], [MODIFIED, RUN_ID, ROW], buckets)
+
+
+def current_listings(versions: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """The table ``properties`` from stored versions."""
+    return versions.where(COMPLETE).select(*[out.name for out in PROPERTY_COLUMNS], *(more or []))
+
+
 def _any_version(raw: DataFrame, key: str) -> DataFrame:
     """One version of a record: the newest run's where the run is known."""
     hashed = raw.withColumn("__row", F.xxhash64(*[c for c in raw.columns if c != RUN_ID]))
@@ -174,8 +206,26 @@ def build_silver(spark: SparkSession, bronze_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def write_silver(spark: SparkSession, bronze_dir: str, silver_dir: str) -> None:
+def write_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, runs: list[str] | None = None) -> None:
+    """Write the silver tables; with ``runs``, listings of these runs only are brought into the bucketed listing table, which is kept from job to job."""
+    listings_dir = f"{silver_dir.rstrip('/')}/{LISTINGS}"
     for name, table in build_silver(spark, bronze_dir).items():
+        if name == "properties" and runs is not None:
+            for run in runs:
+                path = f"{bronze_dir.rstrip('/')}/properties_{run}.jsonl"
+                upsert_listings(with_run_id(read_entity(spark, path, schemas.BRONZE["properties"]), "properties"), listings_dir)
+            continue
         if name == "project_prices":
             table = spread_order(table, *[F.col(c).asc_nulls_last() for c in ("project_id", "year", "month")])
         write_table(table, silver_dir, name)
+        if name == "properties":
+            remove_buckets(spark, listings_dir)  # the whole table takes the place of the bucketed one
+
+
+def read_silver(spark: SparkSession, silver_dir: str, names: list[str]) -> dict[str, DataFrame]:
+    """Silver tables, listings from the bucketed table where there is one."""
+    listings_dir = f"{silver_dir.rstrip('/')}/{LISTINGS}"
+    if "properties" not in names or not is_bucketed(spark, listings_dir):
+        return read_tables(spark, silver_dir, names)
+    others = read_tables(spark, silver_dir, [name for name in names if name != "properties"])
+    return {**others, "properties": current_listings(read_buckets(spark, listings_dir))}
