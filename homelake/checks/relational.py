@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from homelake import operators as op
 from homelake.checks.common import Check, steadied, table
 from homelake.plans import features, gold
-from homelake.session import shared_folder
+from homelake.session import cut_lineage, shared_folder
 from homelake.sources import add_keys, read_table, stored_keys
 
 # ---- summaries -----------------------------------------------------------------------------------------------
@@ -442,7 +442,27 @@ SELECT o_orderkey AS project_id, o_orderpriority AS project_name, o_orderstatus
 FROM orders WHERE o_orderstatus <> 'P' ORDER BY handover_date_from, project_id
 """
 
+def range_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Place of each order in a total order: rows of the partitions before its own, and its place there."""
+    orders = table(spark, sf, "orders")
+    priority = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
+    wide = orders.select("o_orderkey", priority.alias("priority"), "o_totalprice")
+    ordered = op.range_order(wide, wide, {"priority": True, "o_orderkey": False}, rows_per_part=2_000)
+    part, row = F.spark_partition_id(), F.monotonically_increasing_id()
+    placed = cut_lineage(ordered.withColumns({"part": part, "place": row - F.shiftleft(part.cast("long"), 33)}))
+    sizes = placed.groupBy("part").count()  # one row per partition
+    before = F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = placed.join(sizes.select("part", before.alias("before")), "part")
+    return found.select("o_orderkey", "priority", (F.col("before") + F.col("place") + 1).alias("position"))
+
+
+RANGE_ORDER = """
+WITH wide AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority FROM orders)
+SELECT *, row_number() OVER (ORDER BY priority DESC NULLS LAST, o_orderkey) AS position FROM wide
+"""
+
 CHECKS = {
+    "q_range_order": Check(range_order, RANGE_ORDER),
     "q_price_by_area": Check(price_by_area, PRICE_BY_AREA),
     "q_conditional_counts": Check(conditional_counts, CONDITIONAL_COUNTS),
     "q_area_bins": Check(area_bins, AREA_BINS),

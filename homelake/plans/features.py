@@ -11,6 +11,7 @@ from homelake.operators import (
     keyword_score,
     one_per_key,
     pivot_series,
+    range_order,
     std_by_key,
     top_by,
     with_group_std,
@@ -197,6 +198,7 @@ def feature_report(table: DataFrame) -> DataFrame:
 def write_features(spark: SparkSession, silver_dir: str, gold_dir: str, months: list[str] | None = None) -> None:
     """Write the feature table in order of its day text, and the report on the stored table."""
     names = ["properties", "projects", "project_amenities", "project_prices"]
-    table = features(read_silver(spark, silver_dir, names), months)
-    write_table(table.orderBy(F.desc_nulls_last("last_modified_date"), "id"), gold_dir, "features")
+    silver = read_silver(spark, silver_dir, names)
+    ordered = range_order(features(silver, months), silver["properties"], {"last_modified_date": True, "id": False})
+    write_table(ordered, gold_dir, "features")
     write_table(feature_report(read_tables(spark, gold_dir, ["features"])["features"]), gold_dir, "features_sample")
