@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from homelake.session import cut_lineage
 
 _RANK, _BRINGS = "__rank", "__brings"
+_AT, _CHUNK = "__at", "__chunk"
+# A chunk of stored rows is marked in so many words of 64 bits; above so many rows their marks are not broadcast (a bit a row, 170 MB).
+WORDS = 16
+MARKED_ROWS = 1 << 30
 
 
 def _first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -25,6 +29,38 @@ def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str]) -> D
     return _first_row(df, keys, [F.col(name).desc_nulls_last() for name in newest_first])
 
 
+def latest_stored(df: DataFrame, keys: list[str], newest_first: list[str]) -> DataFrame:
+    """As :func:`latest_per_key`, for wide rows: they are stored once, only key and order columns are shuffled and sorted, and the
+    chosen rows are read back from where they stand.  They are dealt out anew, as a file of many of them may be one task's."""
+    stored = cut_lineage(with_position(df))
+    narrow = stored.select(_AT, *dict.fromkeys([*keys, *newest_first]))
+    return rows_at(stored, latest_per_key(narrow, keys, newest_first)).repartition(_AT).drop(_AT)
+
+
+def with_position(df: DataFrame, position: Column | None = None) -> DataFrame:
+    """Add the position that :func:`rows_at` reads: a whole number of its own per row, fixed because it is stored or follows from the file."""
+    return df.withColumn(_AT, F.monotonically_increasing_id() if position is None else position)
+
+
+def rows_at(stored: DataFrame, chosen: DataFrame, keep: bool = True) -> DataFrame:
+    """Stored rows whose position is among those of ``chosen`` (with ``keep`` false: is not).
+
+    The positions become a bit per stored row, stored and broadcast, so the wide rows are filtered where they are read.  Above ``MARKED_ROWS`` rows
+    both sides are shuffled by position instead.
+    """
+    positions = chosen.select(_AT)
+    if stored.count() > MARKED_ROWS:
+        return stored.join(positions, _AT, "left_semi" if keep else "left_anti")
+    bit, word = F.col(_AT).bitwiseAND(F.lit(63)).cast("int"), F.shiftright(_AT, 6).bitwiseAND(F.lit(WORDS - 1)).cast("int")
+    chunk = F.shiftright(_AT, 6 + WORDS.bit_length() - 1).alias(_CHUNK)
+    mark = F.expr(f"shiftleft(1L, CAST({_AT} & 63 AS INT))")
+    marks = [F.coalesce(F.bit_or(F.when(word == i, mark)), F.lit(0).cast("bigint")).alias(f"__word_{i}") for i in range(WORDS)]
+    chunks = cut_lineage(positions.groupBy(chunk).agg(*marks))
+    marked = F.getbit(F.get(F.array(*[f"__word_{i}" for i in range(WORDS)]), word), bit) == 1
+    found = stored.withColumn(_CHUNK, chunk).join(F.broadcast(chunks), _CHUNK, "inner" if keep else "left")
+    return found.where(marked if keep else F.coalesce(~marked, F.lit(True))).select(*stored.columns)
+
+
 def one_per_key(df: DataFrame, keys: list[str], tiebreak: list[str] | None = None) -> DataFrame:
     """Any row per key, but the same one in every run: lowest ``tiebreak`` values, or lowest row hash."""
     order = [F.col(name).asc_nulls_last() for name in tiebreak] if tiebreak else [F.xxhash64(*df.columns)]

@@ -11,13 +11,13 @@ from homelake.operators import (
     Out,
     explode_series,
     latest_per_key,
+    latest_stored,
     one_per_key,
     project_spec,
     quality_items,
 )
-from homelake.session import cut_lineage
 from homelake.sources import read_entity, read_tables, run_glob, spread_order, with_run_id, write_table
-from homelake.sources.buckets import is_bucketed, read_buckets, remove_buckets, upsert_latest
+from homelake.sources.buckets import is_bucketed, read_buckets, remove_buckets, upsert_newest
 from homelake.sources.readers import RUN_ID
 
 
@@ -135,7 +135,7 @@ def properties(raw: DataFrame) -> DataFrame:
 def _newest_listings(raw: DataFrame) -> DataFrame:
     stamped = raw if RUN_ID in raw.columns else raw.withColumn(RUN_ID, F.lit(""))
     hashed = stamped.withColumn("__row", F.xxhash64(*raw.columns))
-    return latest_per_key(hashed, ["id"], ["last_modified_date", RUN_ID, "__row"])
+    return latest_stored(hashed, ["id"], ["last_modified_date", RUN_ID, "__row"])
 
 
 def _clean_texts(flat: DataFrame) -> DataFrame:
@@ -153,8 +153,7 @@ def listing_versions(raw: DataFrame) -> DataFrame:
 
 def upsert_listings(raw: DataFrame, listings_dir: str, buckets: int | None = None) -> list[int]:
     """Bring a run's records into the bucketed listing table; returns the buckets that were rewritten.  Runs may come in any order or again."""
-    # Stored first: filters above the long text expressions make Spark's constraint inference take minutes.
-    return upsert_latest(cut_lineage(listing_versions(raw)), listings_dir, ["id"], [MODIFIED, RUN_ID, ROW], buckets)
+    return upsert_newest(listing_versions(raw), listings_dir, ["id"], [MODIFIED, RUN_ID, ROW], buckets)
 
 
 def current_listings(versions: DataFrame, more: list[str] | None = None) -> DataFrame:
@@ -191,30 +190,30 @@ def project_prices(raw: DataFrame) -> DataFrame:
     return project_spec(explode_series(raw, ["project_id"], "price_history.value"), PRICE_COLUMNS)
 
 
-def build_silver(spark: SparkSession, bronze_dir: str) -> dict[str, DataFrame]:
-    """All silver tables as lazy DataFrames over the bronze runs."""
+def build_silver(spark: SparkSession, bronze_dir: str, names: list[str] = TABLES) -> dict[str, DataFrame]:
+    """The silver tables over the bronze runs; listings are stored on the way, the others are lazy DataFrames."""
 
     def runs(entity: str, schema=None) -> DataFrame:
         return read_entity(spark, run_glob(bronze_dir, entity), schema or schemas.BRONZE[entity])
 
-    return {
-        "properties": properties(with_run_id(runs("properties"), "properties")),
-        "projects": projects(with_run_id(runs("projects"), "projects")),
-        "project_amenities": project_amenities(runs("projects", schemas.PROJECT_QUALITY)),
-        "subdivisions": subdivisions(with_run_id(runs("subdivisions"), "subdivisions")),
-        "project_prices": project_prices(runs("project_prices")),
+    builders = {
+        "properties": lambda: properties(with_run_id(runs("properties"), "properties")),
+        "projects": lambda: projects(with_run_id(runs("projects"), "projects")),
+        "project_amenities": lambda: project_amenities(runs("projects", schemas.PROJECT_QUALITY)),
+        "subdivisions": lambda: subdivisions(with_run_id(runs("subdivisions"), "subdivisions")),
+        "project_prices": lambda: project_prices(runs("project_prices")),
     }
+    return {name: builders[name]() for name in names}
 
 
 def write_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, runs: list[str] | None = None) -> None:
     """Write the silver tables; with ``runs``, listings of these runs only are brought into the bucketed listing table, which is kept from job to job."""
     listings_dir = f"{silver_dir.rstrip('/')}/{LISTINGS}"
-    for name, table in build_silver(spark, bronze_dir).items():
-        if name == "properties" and runs is not None:
-            for run in runs:
-                path = f"{bronze_dir.rstrip('/')}/properties_{run}.jsonl"
-                upsert_listings(with_run_id(read_entity(spark, path, schemas.BRONZE["properties"]), "properties"), listings_dir)
-            continue
+    for run in runs or []:
+        path = f"{bronze_dir.rstrip('/')}/properties_{run}.jsonl"
+        upsert_listings(with_run_id(read_entity(spark, path, schemas.BRONZE["properties"]), "properties"), listings_dir)
+    names = [name for name in TABLES if name != "properties" or runs is None]
+    for name, table in build_silver(spark, bronze_dir, names).items():
         if name == "project_prices":
             table = spread_order(table, *[F.col(c).asc_nulls_last() for c in ("project_id", "year", "month")])
         write_table(table, silver_dir, name)

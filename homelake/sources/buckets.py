@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homelake.operators.dedupe import latest_per_key
+from homelake.operators.dedupe import latest_stored, rows_at, with_position
 from homelake.session import cut_lineage
 from homelake.sources.keys import list_files
 
@@ -57,9 +58,13 @@ def bucket_versions(spark: SparkSession, folder: str) -> dict[int, int]:
 
 def read_buckets(spark: SparkSession, folder: str, only: list[int] | None = None) -> DataFrame:
     """Rows of the table, or of some of its buckets, with their bucket and its version."""
+    return _bucket_files(spark, folder, only).where(~F.col(_FILLER)).drop(_FILLER)
+
+
+def _bucket_files(spark: SparkSession, folder: str, only: list[int] | None = None) -> DataFrame:
     location, versions = _location(spark, folder)[0], bucket_versions(spark, folder)
     paths = [f"{location}/{VERSION}={versions[b]}/{BUCKET}={b}" for b in (sorted(versions) if only is None else only)]
-    return spark.read.option("basePath", location).parquet(*paths).where(~F.col(_FILLER)).drop(_FILLER)
+    return spark.read.option("basePath", location).parquet(*paths)
 
 
 def replace_buckets(rows: DataFrame, folder: str, versions: dict[int, int], buckets: int | None = None) -> None:
@@ -73,9 +78,26 @@ def replace_buckets(rows: DataFrame, folder: str, versions: dict[int, int], buck
     wanted = spark.createDataFrame(listed, f"{BUCKET} int, {VERSION} int, {_PLACE} int")
     placed = rows.drop(VERSION).join(F.broadcast(wanted), BUCKET).withColumn(_FILLER, F.lit(False))
     full = placed.unionByName(wanted.withColumn(_FILLER, F.lit(True)), allowMissingColumns=True)
-    # One task writes a bucket, in one file.
-    one_each = full.repartitionById(len(listed), _PLACE).drop(_PLACE)
-    one_each.write.option("maxRecordsPerFile", 0).partitionBy(VERSION, BUCKET).mode("append").parquet(location)
+    # One task writes a bucket, in one file; files are put in place by their task's number, as a partitioned write would sort whole buckets first.
+    staged = f"{folder.rstrip('/')}/staged-{uuid4().hex}"
+    one_each = full.repartitionById(len(listed), _PLACE).drop(_PLACE, VERSION, BUCKET)
+    one_each.write.option("maxRecordsPerFile", 0).parquet(staged)
+    _put_in_place(spark, staged, location, listed)
+
+
+def _put_in_place(spark: SparkSession, staged: str, location: str, listed: list[tuple[int, int, int]]) -> None:
+    """Make the file of each task the bucket it was written for, by one rename of its folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    files = {int(re.search(r"/part-(\d+)-[^/]*$", file)[1]): file for file in list_files(spark, f"{staged}/part-*")}
+    for bucket, version, place in listed:
+        own, target = f"{staged}/bucket_{bucket}", f"{location}/{VERSION}={version}/{BUCKET}={bucket}"
+        system.mkdirs(path(own))
+        system.mkdirs(path(f"{location}/{VERSION}={version}"))
+        remove_buckets(spark, target)
+        if not (system.rename(path(files[place]), path(f"{own}/{files[place].rsplit('/', 1)[-1]}")) and system.rename(path(own), path(target))):
+            raise OSError(f"could not move {files[place]} to {target}")
+    remove_buckets(spark, staged)
 
 
 def _remove_older(spark: SparkSession, folder: str) -> None:
@@ -93,25 +115,36 @@ def upsert_latest(rows: DataFrame, folder: str, keys: list[str], newest_first: l
     older rows change nothing, so runs may come in any order or again.  Only key and order columns are read to find what is new, and only
     buckets that get a new version are read whole and rewritten.
     """
+    return upsert_newest(latest_stored(rows, keys, newest_first), folder, keys, newest_first, buckets)
+
+
+def upsert_newest(rows: DataFrame, folder: str, keys: list[str], newest_first: list[str], buckets: int | None = None) -> list[int]:
+    """:func:`upsert_latest` for rows that hold one version per key.
+
+    What is new and what it replaces is found on key and order columns; whole rows are shuffled once, to their bucket.
+    """
     spark = rows.sparkSession
     _, buckets = _location(spark, folder, buckets)
     held = bucket_versions(spark, folder)
-    fresh = cut_lineage(latest_per_key(rows, keys, newest_first).withColumn(BUCKET, bucket_number(keys, buckets)))
+    # Stored first: filters above long expressions make Spark's constraint inference take minutes.
+    fresh = cut_lineage(with_position(rows.withColumn(BUCKET, bucket_number(keys, buckets))))
     touched = _buckets_of(fresh)
     met = [bucket for bucket in touched if bucket in held]
     if met:
         stamps = read_buckets(spark, folder, met).select(*[F.col(c).alias(f"__of_{c}") for c in [*keys, *newest_first]], F.lit(True).alias("__stored"))
         order, stored_order = F.struct(*newest_first), F.struct(*[f"__of_{c}" for c in newest_first])
-        newer = fresh.join(stamps, _same(keys), "left").where(F.col("__stored").isNull() | (order > stored_order)).select(*fresh.columns)
-        fresh = cut_lineage(newer)
+        fresh = rows_at(fresh, fresh.join(stamps, _same(keys), "left").where(F.col("__stored").isNull() | (order > stored_order)))
         touched = _buckets_of(fresh)
     kept = [bucket for bucket in touched if bucket in held]
     whole = fresh
     if kept:
         replaced = fresh.select(*[F.col(c).alias(f"__of_{c}") for c in keys])
-        whole = read_buckets(spark, folder, kept).drop(VERSION).join(replaced, _same(keys), "left_anti").unionByName(fresh)
+        # A bucket is one file, so its number and a row's place in the file are a position.
+        place = F.shiftleft(F.col(BUCKET).cast("bigint"), 40) + F.col("_metadata.row_index")
+        stored = with_position(_bucket_files(spark, folder, kept), place).where(~F.col(_FILLER)).drop(VERSION, _FILLER)
+        whole = rows_at(stored, stored.join(replaced, _same(keys), "left_semi"), keep=False).unionByName(fresh)
     version = max(held.values(), default=0) + 1
-    replace_buckets(whole, folder, {bucket: version for bucket in touched}, buckets)
+    replace_buckets(whole.drop(*set(whole.columns) - {*rows.columns, BUCKET}), folder, {bucket: version for bucket in touched}, buckets)
     return touched
 
 
