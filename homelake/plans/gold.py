@@ -69,13 +69,14 @@ def monthly_means(
 ) -> DataFrame:
     """Mean of each value per (group, period), where ``groups`` maps a key to its group; other keys drop out.
 
-    The series is summed per key and period before the join, so a key with very many points joins as few rows.
+    The series is summed per key and period before the join, so a key with very many points joins as few rows.  Both sides are shuffled: they grow
+    with the keys, and Spark, which sizes them by compressed files and does not count exploded points, would broadcast them through the driver.
     """
     partial = series.where(F.col(key).isNotNull()).groupBy(key, *period).agg(
         *[F.sum(v).alias(f"__s_{n}") for n, v in values.items()],
         *[F.count(v).alias(f"__c_{n}") for n, v in values.items()],
     )
-    joined = partial.join(groups, key)
+    joined = partial.join(groups.hint("merge"), key)
     means = {n: F.try_divide(F.sum(f"__s_{n}"), F.sum(f"__c_{n}")) for n in values}
     return summary_by(joined, [*group, *period], means)
 

@@ -67,3 +67,11 @@ def test_median_reads_its_source_twice(spark):
 
 def test_top_k_keeps_only_the_best_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan(gold.top_areas(table(spark, SF, "orders"), ["o_custkey"], "o_totalprice"))
+
+
+def test_monthly_means_send_no_side_to_the_driver(spark):
+    series = spark.createDataFrame([("a", 1, 2.0), ("a", 1, None), ("b", 1, 4.0), ("c", 1, 9.0), (None, 1, 7.0)], "key string, month int, price double")
+    groups = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "x"), ("d", None)], "key string, area string")
+    found = gold.monthly_means(series, "key", ["month"], {"mean": "price"}, groups, ["area"])
+    assert "Broadcast" not in plan(found) and "SortMergeJoin" in plan(found)
+    assert [tuple(row) for row in found.collect()] == [("x", 1, 10 / 3)]
