@@ -17,6 +17,8 @@ _AT, _CHUNK = "__at", "__chunk"
 # A chunk of stored rows is marked in so many words of 64 bits; above so many rows their marks are not broadcast (a bit a row, 170 MB).
 WORDS = 16
 MARKED_ROWS = 1 << 30
+# Wide rows are stored small, and in row groups of which Spark can deal those of one large file to many tasks.
+WIDE_ROWS = {"compression": "zstd", "parquet.block.size": 8 << 20}
 
 
 def _first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -31,10 +33,14 @@ def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str]) -> D
 
 def latest_stored(df: DataFrame, keys: list[str], newest_first: list[str]) -> DataFrame:
     """As :func:`latest_per_key`, for wide rows: they are stored once, only key and order columns are shuffled and sorted, and the
-    chosen rows are read back from where they stand.  They are dealt out anew, as a file of many of them may be one task's."""
-    stored = cut_lineage(with_position(df))
-    narrow = stored.select(_AT, *dict.fromkeys([*keys, *newest_first]))
-    return rows_at(stored, latest_per_key(narrow, keys, newest_first)).repartition(_AT).drop(_AT)
+    chosen rows are read back from where they stand, without a shuffle."""
+    return rows_at(*newest_stored(df, keys, newest_first)).drop(_AT)
+
+
+def newest_stored(df: DataFrame, keys: list[str], newest_first: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows, stored with their positions, and position, key and order columns of the newest row per key."""
+    stored = cut_lineage(with_position(df), **WIDE_ROWS)
+    return stored, latest_per_key(stored.select(_AT, *dict.fromkeys([*keys, *newest_first])), keys, newest_first)
 
 
 def with_position(df: DataFrame, position: Column | None = None) -> DataFrame:
@@ -42,6 +48,10 @@ def with_position(df: DataFrame, position: Column | None = None) -> DataFrame:
     return df.withColumn(_AT, F.monotonically_increasing_id() if position is None else position)
 
 
+def without_position(df: DataFrame) -> DataFrame:
+    return df.drop(_AT)
+
+
 def rows_at(stored: DataFrame, chosen: DataFrame, keep: bool = True) -> DataFrame:
     """Stored rows whose position is among those of ``chosen`` (with ``keep`` false: is not).
 

@@ -35,3 +35,9 @@ def test_listings_are_not_sorted_whole(spark):
     raw = spark.createDataFrame([], schemas.PROPERTIES).selectExpr("*", f"'1' AS {RUN_ID}")
     plan = silver.properties(raw)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Sort" not in plan
+
+
+def test_chosen_listings_are_read_where_they_stand(spark):
+    raw = spark.createDataFrame([], schemas.PROPERTIES).selectExpr("*", f"'1' AS {RUN_ID}")
+    plan = silver.properties(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
