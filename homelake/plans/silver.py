@@ -17,7 +17,7 @@ from homelake.operators import (
     quality_items,
 )
 from homelake.sources import read_entity, read_tables, run_glob, spread_order, with_run_id, write_table
-from homelake.sources.buckets import is_bucketed, read_buckets, remove_buckets, upsert_newest
+from homelake.sources.buckets import is_bucketed, read_buckets, remove_buckets, upsert_latest
 from homelake.sources.readers import RUN_ID
 
 
@@ -128,14 +128,14 @@ def properties(raw: DataFrame) -> DataFrame:
     Order is by modification time, then by run; ``raw`` may carry the run stamp.  The versions are compared on the
     raw record, where the time is still a number.
     """
-    flat = project_spec(_newest_listings(raw), PROPERTY_COLUMNS).dropna(subset=NEEDED)
-    return _clean_texts(flat)
+    newest = latest_stored(_stamped(raw), ["id"], ["last_modified_date", RUN_ID, ROW])
+    return _clean_texts(project_spec(newest, PROPERTY_COLUMNS).dropna(subset=NEEDED))
 
 
-def _newest_listings(raw: DataFrame) -> DataFrame:
+def _stamped(raw: DataFrame) -> DataFrame:
+    """Raw records with their run and a hash, the last of the columns that order versions."""
     stamped = raw if RUN_ID in raw.columns else raw.withColumn(RUN_ID, F.lit(""))
-    hashed = stamped.withColumn("__row", F.xxhash64(*raw.columns))
-    return latest_stored(hashed, ["id"], ["last_modified_date", RUN_ID, "__row"])
+    return stamped.withColumn(ROW, F.xxhash64(*raw.columns))
 
 
 def _clean_texts(flat: DataFrame) -> DataFrame:
@@ -143,17 +143,18 @@ def _clean_texts(flat: DataFrame) -> DataFrame:
     return with_view_category(fix_text(titled, TEXT_FIXES), "views", "views")
 
 
-def listing_versions(raw: DataFrame) -> DataFrame:
-    """Newest version of each listing with its place in the order of versions, complete or not: an incomplete version takes a listing out of the table."""
-    stamps = [Out(MODIFIED, source="last_modified_date"), Out(RUN_ID), Out(ROW, source="__row")]
-    flat = project_spec(_newest_listings(raw), [*PROPERTY_COLUMNS, *stamps])
+def listing_versions(newest: DataFrame, more: list[str]) -> DataFrame:
+    """Stored form of chosen raw versions, with their place in the order of versions, complete or not: an incomplete version takes a listing out of the table."""
+    stamps = [Out(name) for name in (MODIFIED, RUN_ID, ROW, *more)]
+    flat = project_spec(newest.withColumn("last_modified_date", F.col(MODIFIED)), [*PROPERTY_COLUMNS, *stamps])
     known = F.col("min_selling_price").isNotNull() & ~F.isnan(F.coalesce("min_area", F.lit(float("nan")))) & F.col("views").isNotNull()
     return _clean_texts(flat.withColumn(COMPLETE, known))
 
 
 def upsert_listings(raw: DataFrame, listings_dir: str, buckets: int | None = None) -> list[int]:
     """Bring a run's records into the bucketed listing table; returns the buckets that were rewritten.  Runs may come in any order or again."""
-    return upsert_newest(listing_versions(raw), listings_dir, ["id"], [MODIFIED, RUN_ID, ROW], buckets)
+    rows = _stamped(raw).withColumnRenamed("last_modified_date", MODIFIED)
+    return upsert_latest(rows, listings_dir, ["id"], [MODIFIED, RUN_ID, ROW], buckets, listing_versions)
 
 
 def current_listings(versions: DataFrame, more: list[str] | None = None) -> DataFrame:

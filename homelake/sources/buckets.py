@@ -11,13 +11,14 @@ What reaches the driver is one number per bucket.  Choose the number of buckets
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homelake.operators.dedupe import latest_stored, rows_at, with_position
+from homelake.operators.dedupe import newest_stored, rows_at, with_position, without_position
 from homelake.session import cut_lineage
 from homelake.sources.keys import list_files
 
@@ -67,8 +68,15 @@ def _bucket_files(spark: SparkSession, folder: str, only: list[int] | None = Non
     return spark.read.option("basePath", location).parquet(*paths)
 
 
-def replace_buckets(rows: DataFrame, folder: str, versions: dict[int, int], buckets: int | None = None) -> None:
-    """Write whole buckets under the given version numbers: the rows whose ``BUCKET`` is among them, and nothing else, is what they hold from now on."""
+def replace_buckets(
+    rows: DataFrame, folder: str, versions: dict[int, int], buckets: int | None = None,
+    finish: Callable[[DataFrame, list[str]], DataFrame] | None = None, kept: DataFrame | None = None,
+) -> None:
+    """Write whole buckets under the given version numbers: the rows whose ``BUCKET`` is among them, and nothing else, is what they hold from now on.
+
+    ``finish`` turns rows into what is stored and keeps the named columns; it comes after the join with the buckets, as a join above long expressions makes
+    Spark's constraint inference take minutes.  ``kept`` are further rows, which are finished.
+    """
     if not versions:
         return
     spark = rows.sparkSession
@@ -76,12 +84,16 @@ def replace_buckets(rows: DataFrame, folder: str, versions: dict[int, int], buck
     _remove_older(spark, folder)
     listed = [(bucket, version, place) for place, (bucket, version) in enumerate(sorted(versions.items()))]
     wanted = spark.createDataFrame(listed, f"{BUCKET} int, {VERSION} int, {_PLACE} int")
-    placed = rows.drop(VERSION).join(F.broadcast(wanted), BUCKET).withColumn(_FILLER, F.lit(False))
-    full = placed.unionByName(wanted.withColumn(_FILLER, F.lit(True)), allowMissingColumns=True)
+    place = F.broadcast(wanted.drop(VERSION))
+    placed = rows.drop(VERSION).join(place, BUCKET).drop(BUCKET)
+    placed = finish(placed, [_PLACE]) if finish else placed
+    if kept is not None:
+        placed = placed.unionByName(kept.drop(VERSION).join(place, BUCKET).drop(BUCKET))
+    full = placed.withColumn(_FILLER, F.lit(False)).unionByName(wanted.select(_PLACE, F.lit(True).alias(_FILLER)), allowMissingColumns=True)
     # One task writes a bucket, in one file; files are put in place by their task's number, as a partitioned write would sort whole buckets first.
     staged = f"{folder.rstrip('/')}/staged-{uuid4().hex}"
-    one_each = full.repartitionById(len(listed), _PLACE).drop(_PLACE, VERSION, BUCKET)
-    one_each.write.option("maxRecordsPerFile", 0).parquet(staged)
+    one_each = full.repartitionById(len(listed), _PLACE).drop(_PLACE)
+    one_each.write.options(maxRecordsPerFile=0, compression="zstd").parquet(staged)
     _put_in_place(spark, staged, location, listed)
 
 
@@ -108,26 +120,25 @@ def _remove_older(spark: SparkSession, folder: str) -> None:
             remove_buckets(spark, path)
 
 
-def upsert_latest(rows: DataFrame, folder: str, keys: list[str], newest_first: list[str], buckets: int | None = None) -> list[int]:
+def upsert_latest(
+    rows: DataFrame, folder: str, keys: list[str], newest_first: list[str], buckets: int | None = None,
+    finish: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+) -> list[int]:
     """Bring the newest version of each key into a table of one row per key, and return the buckets that were rewritten.
 
     A row replaces the stored one of its key if its ``newest_first`` values are higher (missing ones are lowest), as in :func:`latest_per_key`; equal or
     older rows change nothing, so runs may come in any order or again.  Only key and order columns are read to find what is new, and only
-    buckets that get a new version are read whole and rewritten.
-    """
-    return upsert_newest(latest_stored(rows, keys, newest_first), folder, keys, newest_first, buckets)
-
-
-def upsert_newest(rows: DataFrame, folder: str, keys: list[str], newest_first: list[str], buckets: int | None = None) -> list[int]:
-    """:func:`upsert_latest` for rows that hold one version per key.
+    buckets that get a new version are read whole and rewritten.  ``finish`` turns chosen rows into what the table holds and leaves key and order columns
+    as they are.
 
-    What is new and what it replaces is found on key and order columns; whole rows are shuffled once, to their bucket.
+    Rows are stored once as they come; what is new and what it replaces is found on key and order columns, and whole rows are shuffled once, to their bucket.
     """
     spark = rows.sparkSession
     _, buckets = _location(spark, folder, buckets)
     held = bucket_versions(spark, folder)
-    # Stored first: filters above long expressions make Spark's constraint inference take minutes.
-    fresh = cut_lineage(with_position(rows.withColumn(BUCKET, bucket_number(keys, buckets))))
+    number = bucket_number(keys, buckets)
+    wide, newest = newest_stored(rows, keys, newest_first)
+    fresh = cut_lineage(newest.withColumn(BUCKET, number))
     touched = _buckets_of(fresh)
     met = [bucket for bucket in touched if bucket in held]
     if met:
@@ -135,16 +146,17 @@ def upsert_newest(rows: DataFrame, folder: str, keys: list[str], newest_first: l
         order, stored_order = F.struct(*newest_first), F.struct(*[f"__of_{c}" for c in newest_first])
         fresh = rows_at(fresh, fresh.join(stamps, _same(keys), "left").where(F.col("__stored").isNull() | (order > stored_order)))
         touched = _buckets_of(fresh)
+    left = None
     kept = [bucket for bucket in touched if bucket in held]
-    whole = fresh
     if kept:
         replaced = fresh.select(*[F.col(c).alias(f"__of_{c}") for c in keys])
         # A bucket is one file, so its number and a row's place in the file are a position.
         place = F.shiftleft(F.col(BUCKET).cast("bigint"), 40) + F.col("_metadata.row_index")
         stored = with_position(_bucket_files(spark, folder, kept), place).where(~F.col(_FILLER)).drop(VERSION, _FILLER)
-        whole = rows_at(stored, stored.join(replaced, _same(keys), "left_semi"), keep=False).unionByName(fresh)
+        left = without_position(rows_at(stored, stored.join(replaced, _same(keys), "left_semi"), keep=False))
     version = max(held.values(), default=0) + 1
-    replace_buckets(whole.drop(*set(whole.columns) - {*rows.columns, BUCKET}), folder, {bucket: version for bucket in touched}, buckets)
+    chosen = without_position(rows_at(wide, fresh)).withColumn(BUCKET, number)
+    replace_buckets(chosen, folder, {bucket: version for bucket in touched}, buckets, finish, left)
     return touched
 
 

@@ -3,10 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from homelake import schemas
 from homelake.operators import dedupe
 from homelake.plans import silver
+from homelake.sources import buckets
 from homelake.sources.readers import RUN_ID
 
 
@@ -41,3 +43,16 @@ def test_chosen_listings_are_read_where_they_stand(spark):
     raw = spark.createDataFrame([], schemas.PROPERTIES).selectExpr("*", f"'1' AS {RUN_ID}")
     plan = silver.properties(raw)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_an_upsert_stores_wide_rows_once(spark, monkeypatch, tmp_path):
+    stored, keep = [], dedupe.cut_lineage
+    for module in (dedupe, buckets):
+        monkeypatch.setattr(module, "cut_lineage", lambda df, **options: stored.append(len(df.columns)) or keep(df, **options))
+    raw = spark.createDataFrame([("1", 5.0), ("1", 6.0), (None, 1.0)], "id string, min_selling_price double")
+    wide = raw.select(*[raw[f.name] if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PROPERTIES.fields])
+    for run in ("1", "2"):
+        silver.upsert_listings(wide.withColumn(RUN_ID, F.lit(run)), str(tmp_path), 4)
+    assert sum(n > len(schemas.PROPERTIES.fields) for n in stored) == 2
+    found = buckets.read_buckets(spark, str(tmp_path)).select("id", RUN_ID).collect()
+    assert sorted(map(str, found)) == sorted(["Row(id='1', __run_id='2')", "Row(id=None, __run_id='2')"])
