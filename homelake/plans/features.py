@@ -17,6 +17,7 @@ from homelake.operators import (
     with_group_std,
 )
 from homelake.plans.silver import read_silver
+from homelake.session import cut_lineage
 from homelake.sources import read_tables, write_table
 
 # Words, weights, codes and thresholds that define the features.
@@ -173,7 +174,8 @@ def features(silver: dict[str, DataFrame], months: list[str] | None = None, hot_
     columns, and hot keys are looked for in the stored listings rather than in a join's result.
     """
     listings = silver["properties"]
-    volatility = std_by_key(listings, "sector_id", "min_selling_price", "block_price_volatility")
+    # Stored, so Spark knows how small the statistics are before it would shuffle the wide listings to meet them.
+    volatility = cut_lineage(std_by_key(listings, "sector_id", "min_selling_price", "block_price_volatility"))
     rows = with_group_std(listings, volatility, "sector_id", "block_price_volatility", ["id"], hot_rows)
     wide = join_exclude(
         rows, project_dimension(silver, months), "project_id", [], ["id"],

@@ -1,13 +1,14 @@
 """Wide rows chosen by position: only narrow columns are shuffled and sorted to choose them."""
 
 import random
+from statistics import stdev
 
 import pytest
 from pyspark.sql import functions as F
 
 from homelake import schemas
 from homelake.operators import dedupe
-from homelake.plans import silver
+from homelake.plans import features, silver
 from homelake.sources import buckets
 from homelake.sources.readers import RUN_ID
 
@@ -56,3 +57,21 @@ def test_an_upsert_stores_wide_rows_once(spark, monkeypatch, tmp_path):
     assert sum(n > len(schemas.PROPERTIES.fields) for n in stored) == 2
     found = buckets.read_buckets(spark, str(tmp_path)).select("id", RUN_ID).collect()
     assert sorted(map(str, found)) == sorted(["Row(id='1', __run_id='2')", "Row(id=None, __run_id='2')"])
+
+
+def test_sector_statistics_are_met_without_a_shuffle_of_listings(spark):
+    def records(schema, *rows):
+        return spark.createDataFrame(list(rows), schema)
+
+    offers = [{"id": str(i), "sector_id": str(i % 3) if i else None, "min_selling_price": float(i * i), "min_area": 5.0, "views": ["k"]} for i in range(9)]
+    tables = {
+        "properties": dedupe.cut_lineage(silver.properties(records(schemas.PROPERTIES, *offers))),
+        "projects": silver.projects(records(schemas.PROJECTS)),
+        "project_amenities": silver.project_amenities(records(schemas.PROJECT_QUALITY)),
+        "project_prices": silver.project_prices(records(schemas.PROJECT_PRICES)),
+    }
+    table = features.features(tables, ["price_2024_01"])
+    assert "hashpartitioning(sector_id" not in table._jdf.queryExecution().executedPlan().toString()
+    found = {row["id"]: row["block_price_volatility"] for row in table.collect()}
+    wanted = {str(i): stdev(j * j for j in range(1, 9) if j % 3 == i % 3) if i else 0.0 for i in range(9)}
+    assert found == pytest.approx(wanted)
