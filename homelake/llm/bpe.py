@@ -7,7 +7,7 @@
    number, and the number leads to its ids.  The arrays lie in one file in the shared folder, which Spark hands to every executor and workers map
    into memory.
 3. Encoding walks all different words of a few texts through the automaton at once.  A word that is not in it is merged exactly: always the pair of
-   lowest rank, the leftmost of these.
+   lowest rank, the leftmost of these.  A worker keeps the ids of up to about ``HELD_WORDS`` words, so it looks a word up once for many texts.
 
 Merge ranks and ids are read from a ``tokenizers`` file on the driver and broadcast (a few MB whatever the corpus).  Texts stay where they lie; only
 word counts are shuffled.  Added tokens in a text get their own id, as the library does by default.
@@ -26,10 +26,12 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, islice, pairwise
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -41,15 +43,18 @@ from homelake.session import cut_lineage, shared_folder
 LEXICON_WORDS = 1 << 16
 WORD_BYTES = 32
 CHUNK_CHARS = 1 << 20
+# A worker keeps counts and ids of the words it met until they are so many, or come from so many characters.
+HELD_WORDS = 1 << 18
+HELD_CHARS = 1 << 24
+# Tokens decoded at once, in whole texts.
+CHUNK_TOKENS = 1 << 18
 # Longer words are merged by a heap.
 LONG_WORD = 64
 _ID_BITS = 24
 _ID = (1 << _ID_BITS) - 1
 _NONE = 1 << 62
-# Fixed value: the pattern of byte-level tokenizers.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-# The same where a text is ASCII, for Python's faster module.
+# Fixed value: the pattern of byte-level tokenizers, which is 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+, as it reads for
+# ASCII, for Python's faster module; of other texts it gets the characters that stand for theirs.
 ASCII_PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 
 
@@ -118,21 +123,28 @@ class Tokenizer:
         return [i for i in ids if i >= 0]
 
 
-@lru_cache(maxsize=1)
-def _known() -> np.ndarray:
-    """Of every code point, whether Python's Unicode tables know it: of others, pattern libraries of different ages disagree."""
-    return np.array([unicodedata.category(chr(c)) != "Cn" for c in range(sys.maxunicode + 1)])
+_UNKNOWN = 255
 
 
-def _all_known(text: str) -> bool:
-    return bool(_known()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].all())
+@lru_cache(maxsize=1)
+def _signs() -> np.ndarray:
+    """Of every code point an ASCII character that the pattern treats alike (ASCII stands for itself), ``_UNKNOWN`` where Python's Unicode tables
+    do not know it: of those, pattern libraries of different ages disagree."""
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    signs = np.full(len(every), ord("!"), dtype=np.uint8)
+    for kind, sign in ((r"\p{L}+", "A"), (r"\p{N}+", "0"), (r"\s+", "\t")):
+        for run in regex.finditer(kind, every):
+            signs[run.start() : run.end()] = ord(sign)
+    signs[np.array([unicodedata.category(c) == "Cn" for c in every])] = _UNKNOWN
+    signs[:128] = np.arange(128)
+    return signs
 
 
 class Splitter:
     """Cuts texts into words and added tokens (as their ids)."""
 
     def __init__(self, added: dict[str, int]) -> None:
-        self.words, self.ascii_words = regex.compile(PATTERN).findall, re.compile(ASCII_PATTERN).findall
+        self.ascii_words = re.compile(ASCII_PATTERN).findall
         self.added = added
         # Of two added tokens at one place the longer holds.
         longest = sorted(added, key=len, reverse=True)
@@ -141,8 +153,10 @@ class Splitter:
     def _plain(self, text: str) -> list[str]:
         if text.isascii():
             return self.ascii_words(text)
-        if _all_known(text):
-            return self.words(text)
+        signs = _signs()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+        if signs.max() != _UNKNOWN:
+            # Every character is in a word, so the words' lengths tell where they lie.
+            return [text[a:b] for a, b in pairwise(accumulate(map(len, self.ascii_words(signs.tobytes().decode("ascii"))), initial=0))]
         from tokenizers.pre_tokenizers import ByteLevel  # what its tables say of such a code point holds
 
         return [text[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)]
@@ -158,8 +172,6 @@ class Splitter:
 
 def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Runs of rows of about ``CHUNK_CHARS`` bytes of text."""
-    import pyarrow.compute as pc
-
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(size):
@@ -173,17 +185,25 @@ def frequent_words(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", wo
     """The most frequent words of all texts, at most ``words``, sorted; words of like frequency come all or none."""
     added = tokenizer.added
 
+    def counted(found: Counter) -> pa.RecordBatch:
+        for mark in added.values():
+            found.pop(mark, None)
+        words = pa.array(found.keys(), pa.string()).cast(pa.binary())
+        batch = pa.RecordBatch.from_arrays([words, pa.array(found.values(), pa.int64())], names=["word", "n"])
+        return batch.filter(pc.less_equal(pc.binary_length(words), WORD_BYTES))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = Splitter(added)
+        split, found, chars = Splitter(added), Counter(), 0
         for batch in batches:
             for chunk in _chunks(batch, 0):
-                found: Counter = Counter()
                 for content in chunk.column(0).to_pylist():
                     if content:
                         found.update(split(content))
-                own = {word.encode("utf-8", "surrogatepass"): n for word, n in found.items() if isinstance(word, str) and len(word) <= WORD_BYTES}
-                own = {word: n for word, n in own.items() if len(word) <= WORD_BYTES}
-                yield pa.RecordBatch.from_arrays([pa.array(own.keys(), pa.binary()), pa.array(own.values(), pa.int64())], names=["word", "n"])
+                        chars += len(content)
+                if len(found) >= HELD_WORDS or chars >= HELD_CHARS:
+                    yield counted(found)
+                    found, chars = Counter(), 0
+        yield counted(found)
 
     counts = cut_lineage(docs.select(text).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     # The least frequency that no more than ``words`` words reach, to a tenth of a binary order.
@@ -240,6 +260,12 @@ def compiled(words: list[bytes], tokenizer: Tokenizer) -> np.ndarray:
         sizes, keys, targets, outputs, [int(ends_) for ends_, _ in states], ends, [i for own in ids for i in own])]).astype("<i4")
 
 
+def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions of runs of given begins and sizes, one run after another."""
+    ends = np.cumsum(size, dtype=np.int64)
+    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Lexicon:
     """A compiled transducer, mapped from a file or held in an array."""
 
@@ -253,7 +279,8 @@ class Lexicon:
         """Number of each word, -1 for words that are not in the lexicon; all words walk on together, a byte a step."""
         size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         content, begin = np.frombuffer(b"".join(words), dtype=np.uint8), np.cumsum(size) - size
-        state, number = np.full(len(words), self.first, dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        # Of the arcs' own type, or every search would first copy them.
+        state, number = np.full(len(words), self.first, dtype=np.int32), np.zeros(len(words), dtype=np.int64)
         if not len(self.keys):
             return np.full(len(words), -1)
         state[size > WORD_BYTES] = -1
@@ -276,85 +303,173 @@ class Merger:
     def __init__(self, tokenizer: Tokenizer) -> None:
         self.tokenizer = tokenizer
         keys = np.array([a << _ID_BITS | b for a, b in tokenizer.merges], dtype=np.int64)
+        steps = np.fromiter(tokenizer.merges.values(), dtype=np.int64, count=len(keys))
         order = np.argsort(keys)
-        self.keys, self.steps = keys[order], np.fromiter(tokenizer.merges.values(), dtype=np.int64, count=len(keys))[order]
-        self.single = np.array(tokenizer.single, dtype=np.int64)
+        # Ranks rise from 1 in the order of the merges; the last entry stands for no merge.
+        self.keys, self.ranks = keys[order], (steps[order] >> _ID_BITS).astype(np.int32)
+        self.none = int(self.ranks.max(initial=0)) + 1
+        self.merged = np.zeros(self.none + 1, dtype=np.int32)
+        self.merged[steps >> _ID_BITS] = steps & _ID
+        self.single = np.array(tokenizer.single, dtype=np.int32)
+        self.bytes = self._of(np.repeat(self.single, 256), np.tile(self.single, 256))
 
     def _of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Merge of each pair, ``_NONE`` where there is none or one of the two is past the end (-1)."""
+        """Rank of the merge of each pair, ``none`` where there is none or one of the two is past the end (-1)."""
         if not len(self.keys):
-            return np.full(left.shape, _NONE)
-        key = left << _ID_BITS | right
+            return np.full(left.shape, self.none, dtype=np.int32)
+        key = left.astype(np.int64) << _ID_BITS | right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.steps[at], _NONE)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], np.int32(self.none))
 
     def __call__(self, words: list[bytes]) -> list[np.ndarray]:
-        out = [np.array(self.tokenizer.merged(word), dtype=np.int32) if len(word) > LONG_WORD else None for word in words]
-        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        ids, size = self.joined(words)
+        return np.split(ids, np.cumsum(size)[:-1]) if words else []
+
+    def joined(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after another, how many each has)."""
+        length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # rows, their sizes, their ids
+        for row in np.flatnonzero(length > LONG_WORD):
+            own = np.array(self.tokenizer.merged(words[row]), dtype=np.int32)
+            done.append((np.array([row]), np.array([len(own)]), own))
         low, width = 0, 8
         while low < LONG_WORD:
-            rows = np.flatnonzero((size > low) & (size <= width))
+            rows = np.flatnonzero((length > low) & (length <= width))
             if len(rows):
-                self._band([words[row] for row in rows], rows, width, out)
+                self._band([words[row] for row in rows], rows, width, done)
             low, width = width, width * 2
-        return [np.array([], dtype=np.int32) if own is None else own for own in out]
-
-    def _band(self, words: list[bytes], rows: np.ndarray, width: int, out: list) -> None:
+        size = np.zeros(len(words), dtype=np.int64)
+        if not done:
+            return np.array([], dtype=np.int32), size
+        rows, sizes, ids = (np.concatenate(parts) for parts in zip(*done))
+        size[rows] = sizes
+        joined = np.empty(len(ids), dtype=np.int32)
+        joined[_runs((np.cumsum(size) - size)[rows], sizes)] = ids
+        return joined, size
+
+    def _band(self, words: list[bytes], rows: np.ndarray, width: int, done: list) -> None:
         size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        ids = np.full((len(words), width + 1), -1, dtype=np.int64)
-        ids[np.arange(width + 1) < size[:, None]] = self.single[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        steps = self._of(ids[:, :-1], ids[:, 1:])
         places = np.arange(width + 1)
+        inside, content = places < size[:, None], np.frombuffer(b"".join(words), dtype=np.uint8)
+        ids = np.full((len(words), width + 1), -1, dtype=np.int32)
+        ids[inside] = self.single[content]
+        # Pairs of bytes are looked up in a table; a word's last byte has no pair.
+        steps = np.full((len(words), width), self.none, dtype=np.int32)
+        paired = inside[:, 1:]
+        begins = np.ones(len(content), dtype=bool)
+        begins[np.cumsum(size) - 1] = False
+        first = np.flatnonzero(begins)
+        steps[paired] = self.bytes[content[first].astype(np.int64) << 8 | content[first + 1]]
         while len(rows):
             at = steps.argmin(axis=1)
             step = steps[np.arange(len(rows)), at]
-            live = step != _NONE
+            live = step != self.none
             if not live.all():
-                for row, own, n in zip(rows[~live].tolist(), ids[~live].astype(np.int32), size[~live].tolist()):
-                    out[row] = own[:n]
+                ended = ~live
+                done.append((rows[ended], size[ended], ids[ended][places < size[ended][:, None]]))
                 rows, ids, steps, size, at, step = (part[live] for part in (rows, ids, steps, size, at, step))
             every = np.arange(len(rows))
             # What stands right of a merged pair moves up by one.
             moved = np.minimum(places + (places > at[:, None]), width)
             ids = np.take_along_axis(ids, moved, axis=1)
             steps = np.take_along_axis(steps, np.minimum(moved[:, :-1], width - 1), axis=1)
-            ids[every, at], size = step & _ID, size - 1
+            ids[every, at], size = self.merged[step], size - 1
             steps[every, at] = self._of(ids[every, at], ids[every, at + 1])
             left = np.flatnonzero(at > 0)
             steps[left, at[left] - 1] = self._of(ids[left, at[left] - 1], ids[left, at[left]])
 
 
+class _Numbered(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str | int) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Encoder:
     def __init__(self, lexicon: Lexicon, tokenizer: Tokenizer) -> None:
         self.lexicon, self.merger, self.split = lexicon, Merger(tokenizer), Splitter(tokenizer.added)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index, self.chars = _Numbered(), 0
+        self.pool, self.size = np.array([], dtype=np.int32), np.array([], dtype=np.int64)  # ids of the words by number, how many each has
+
+    def _learn(self) -> None:
+        """Add the ids of the words that were numbered since."""
+        new = list(islice(self.index, len(self.size), None))
+        marks = [(at, word) for at, word in enumerate(new) if isinstance(word, int)] if self.split.added else []
+        for at, _ in marks:
+            new[at] = ""
+        words = [word.encode("utf-8", "surrogatepass") for word in new]
+        numbers, lexicon = self.lexicon.numbers(words), self.lexicon
+        known, unseen = np.flatnonzero(numbers >= 0), np.flatnonzero(numbers < 0)
+        size, begin = np.zeros(len(new), dtype=np.int64), lexicon.starts[numbers[known]].astype(np.int64)
+        size[known] = lexicon.starts[numbers[known] + 1] - begin
+        merged, size[unseen] = self.merger.joined([words[at] for at in unseen])
+        for at, _ in marks:
+            size[at] = 1
+        place = np.cumsum(size) - size
+        own = np.empty(int(size.sum()), dtype=np.int32)
+        own[_runs(place[known], size[known])] = lexicon.ids[_runs(begin, size[known])]
+        for at, mark in marks:
+            own[place[at]] = mark
+        if marks:
+            unseen = np.setdiff1d(unseen, [at for at, _ in marks])
+        own[_runs(place[unseen], size[unseen])] = merged
+        self.pool, self.size = np.concatenate([self.pool, own]), np.concatenate([self.size, size])
+        self.chars += sum(map(len, words))
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, where each text's begin and the last one's end)."""
-        index: dict[str | int, int] = {}
-        met: list[int] = []
-        upto = [0]
+        if len(self.index) >= HELD_WORDS or self.chars >= HELD_CHARS:
+            self._forget()
+        number, parts = self.index.__getitem__, []
         for text in texts:
-            if text:
-                met += [index.setdefault(word, len(index)) for word in self.split(text)]
-            upto.append(len(met))
-        words = [b"" if isinstance(word, int) else word.encode("utf-8", "surrogatepass") for word in index]
-        numbers, lexicon = self.lexicon.numbers(words), self.lexicon
-        unseen = np.flatnonzero(numbers < 0).tolist()
-        merged = dict(zip(unseen, self.merger([words[at] for at in unseen])))
-        own = []
-        for at, (key, number) in enumerate(zip(index, numbers.tolist())):
-            if isinstance(key, int):
-                own.append(np.array([key], dtype=np.int32))
-            else:
-                own.append(lexicon.ids[lexicon.starts[number] : lexicon.starts[number + 1]] if number >= 0 else merged[at])
-        if not own:
-            return np.array([], dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int32)
+            words = self.split(text) if text else []
+            parts.append(np.fromiter(map(number, words), dtype=np.int64, count=len(words)))
+        if len(self.index) > len(self.size):
+            self._learn()
+        place = np.concatenate([np.array([], dtype=np.int64), *parts])
+        length = self.size[place]
+        upto = np.cumsum([0, *map(len, parts)])
+        starts = np.concatenate([[0], np.cumsum(length)])[upto].astype(np.int32)
+        return self.pool[_runs((np.cumsum(self.size) - self.size)[place], length)], starts
+
+
+class Pieces:
+    """Bytes of many ids at once."""
+
+    def __init__(self, pieces: dict[int, bytes]) -> None:
+        ids, own = list(pieces), list(pieces.values())
         size = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
-        place, pool = np.array(met, dtype=np.int64), np.concatenate(own)
-        length = size[place]
-        ends = np.cumsum(length)
-        gathered = np.repeat((np.cumsum(size) - size)[place] - (ends - length), length) + np.arange(ends[-1])
-        return pool[gathered], np.concatenate([[0], ends])[upto].astype(np.int32)
+        self.begin, self.size = np.zeros(max(ids, default=-1) + 1, dtype=np.int64), np.full(max(ids, default=-1) + 1, -1, dtype=np.int64)
+        self.begin[ids], self.size[ids] = np.cumsum(size) - size, size
+        self.content = np.frombuffer(b"".join(own), dtype=np.uint8)
+
+    def __call__(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all ids one after another, how many each has)."""
+        known = (ids >= 0) & (ids < len(self.size))
+        if not known.all() or (len(ids) and self.size[ids].min() < 0):
+            raise KeyError("an id that is not in the vocabulary")
+        size = self.size[ids]
+        return self.content[_runs(self.begin[ids], size)], size
+
+    def texts(self, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+        """Texts of runs of ids that begin at ``starts`` (and end at its last entry)."""
+        content, size = self(ids)
+        ends = np.concatenate([[0], np.cumsum(size)])[starts]
+        whole = content.tobytes()
+        try:
+            whole.decode("utf-8")
+            # A text that began inside a character would not be UTF-8 by itself.
+            valid = not ((content[ends[:-1][ends[:-1] < len(content)]] & 0xC0) == 0x80).any()
+        except UnicodeDecodeError:
+            valid = False
+        if valid:
+            return pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(whole))
+        return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in pairwise(ends.tolist())], pa.string())
 
 
 def _shared_lexicon(spark: SparkSession, content: np.ndarray) -> str:
@@ -400,15 +515,22 @@ def decode_ids(encoded: DataFrame, tokenizer: Tokenizer, ids: str = "ids", outpu
         field.nullable = True
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = shared.value.__getitem__
+        pieces = Pieces(shared.value)
         for batch in batches:
             lists = batch.column(0)
-            values, starts = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            parts = [values[a:b] for a, b in zip(starts, starts[1:])]
-            columns = [pa.array([b"".join(map(piece, part.tolist())).decode("utf-8", "replace") for part in parts], pa.string())]
-            if packed:
-                columns.append(pa.array([part.astype("<u4").tobytes() for part in parts], pa.binary()))
-            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[1:]], names=[field.name for field in schema])
+            values, starts = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy().astype(np.int64)
+            row = 0
+            while row < len(batch):
+                # Whole texts of about ``CHUNK_TOKENS`` ids, one at least.
+                end = max(row + 1, int(np.searchsorted(starts, starts[row] + CHUNK_TOKENS, side="right")) - 1)
+                ids, own = values[starts[row] : starts[end]], starts[row : end + 1] - starts[row]
+                columns = [pieces.texts(ids, own)]
+                if packed:
+                    columns.append(pa.Array.from_buffers(
+                        pa.binary(), len(own) - 1, [None, pa.py_buffer((own * 4).astype(np.int32)), pa.py_buffer(ids.astype("<u4").tobytes())]))
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, *batch.slice(row, end - row).columns[1:]], names=[field.name for field in schema])
+                row = end
 
     return source.mapInArrow(decode, schema)
 

@@ -94,3 +94,39 @@ def test_automaton_is_minimal_and_numbers_its_words(tokenizer):
     assert lexicon.numbers(others).tolist() == [-1] * 4
     ids, starts = Encoder(lexicon, tokenizer)(["walking", None, "zzz talked"])
     assert starts.tolist() == [0, len(tokenizer.merged(b"walking")), len(tokenizer.merged(b"walking")), len(ids)]
+
+
+def test_a_worker_looks_a_word_up_once(tokenizer, monkeypatch):
+    lexicon = Lexicon(compiled([b"known"], tokenizer))
+    encoder, asked, numbers = Encoder(lexicon, tokenizer), [], lexicon.numbers
+    monkeypatch.setattr(lexicon, "numbers", lambda words: asked.extend(words) or numbers(words))
+    first, again = encoder(["known strange", "strange"]), encoder(["strange", "known strange<|endoftext|>"])
+    assert sorted(asked) == [b"", b" strange", b"known", b"strange"]  # the added token's place is empty
+    assert again[0].tolist() == [*first[0][first[1][1] :], *first[0][: first[1][1]], tokenizer.added["<|endoftext|>"]]
+
+
+@pytest.mark.parametrize("name, bound", [("HELD_WORDS", 3), ("HELD_CHARS", 8)])
+def test_kept_words_are_bounded(tokenizer, library, monkeypatch, name, bound):
+    monkeypatch.setattr(bpe, name, bound)
+    encoder = Encoder(Lexicon(compiled([b"b"], tokenizer)), tokenizer)
+    for at in range(20):
+        text = f"word{at} b Ünï{at % 3}"
+        assert encoder([text])[0].tolist() == library.encode(text).ids
+        assert len(encoder.index) <= bound + 6
+
+
+def test_counts_do_not_depend_on_what_is_kept(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 4)
+    monkeypatch.setattr(bpe, "HELD_WORDS", 2)
+    docs = spark.createDataFrame([("a b a",), ("a é<|endoftext|>é",), (None,), ("x" * 40,)], "text string")
+    assert bpe.frequent_words(docs, tokenizer) == sorted([b"a", b" b", b" a", " é".encode(), "é".encode()])
+
+
+@pytest.mark.parametrize("tokens", [1, 3, 1 << 18])
+def test_texts_cut_inside_characters_decode_by_themselves(spark, tokenizer, monkeypatch, tokens):
+    monkeypatch.setattr(bpe, "CHUNK_TOKENS", tokens)
+    low, high = (tokenizer.single[b] for b in "é".encode())
+    rows = [(0, [low]), (1, [high]), (2, []), (3, [low, high]), (4, tokenizer.merged(b" word")), (5, [low, high, low]), (6, [])]
+    decoded = decode_ids(spark.createDataFrame(rows, "at int, ids array<int>").coalesce(1), tokenizer, packed="packed").collect()
+    assert {r["at"]: r["decoded"] for r in decoded} == {0: "�", 1: "�", 2: "", 3: "é", 4: " word", 5: "é�", 6: ""}
+    assert {r["at"]: bytes(r["packed"]) for r in decoded} == {at: np.array(ids, dtype="<u4").tobytes() for at, ids in rows}
